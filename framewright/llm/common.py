@@ -7,6 +7,7 @@ result, and further columns are neither read nor returned.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -37,12 +38,20 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-def stage_table(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
-    """Write df to the shared folder and read it again: cuts lineage and survives the loss of executors."""
-    spark = df.sparkSession
+def stage_table(df: DataFrame, tag: str, codec: str = "zstd", by: str | None = None) -> DataFrame:
+    """Write df to the shared folder and read it again: cuts lineage and survives the loss of executors.
+
+    by: a column to lay the table out by. What shuffles df needed is let go, for their files else stay on the
+    executors' disks until the driver happens to collect its garbage.
+    """
+    spark, schema = df.sparkSession, df.schema
     path = f"{shared_dir(spark)}/fw-{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write.option("compression", codec)
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    del df, writer
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -1,12 +1,16 @@
 """The training-data queries by name, and DuckDB SQL for those that SQL can express."""
 
 from .bpe import op6_byte_bpe
+from .jaccard import op2_jaccard
 from .mpegts import op4_transport_stream
 from .pii import op10_pii
+from .substrings import op3_substrings
 from .tokenbin import op1_token_file
 
 QUERIES = {
     "op1_token_file": op1_token_file,
+    "op2_jaccard": op2_jaccard,
+    "op3_substrings": op3_substrings,
     "op4_transport_stream": op4_transport_stream,
     "op6_byte_bpe": op6_byte_bpe,
     "op10_pii": op10_pii,
