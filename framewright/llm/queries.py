@@ -4,6 +4,7 @@ from .bpe import op6_byte_bpe
 from .jaccard import op2_jaccard
 from .mpegts import op4_transport_stream
 from .pii import op10_pii
+from .quality import op9_quality
 from .substrings import op3_substrings
 from .tokenbin import op1_token_file
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op3_substrings": op3_substrings,
     "op4_transport_stream": op4_transport_stream,
     "op6_byte_bpe": op6_byte_bpe,
+    "op9_quality": op9_quality,
     "op10_pii": op10_pii,
 }
 
