@@ -2,6 +2,7 @@
 
 from .bpe import op6_byte_bpe
 from .jaccard import op2_jaccard
+from .mixing import OP5_SQL, op5_mixing
 from .mpegts import op4_transport_stream
 from .pii import op10_pii
 from .quality import op9_quality
@@ -13,9 +14,10 @@ QUERIES = {
     "op2_jaccard": op2_jaccard,
     "op3_substrings": op3_substrings,
     "op4_transport_stream": op4_transport_stream,
+    "op5_mixing": op5_mixing,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_mixing": OP5_SQL}
