@@ -38,6 +38,12 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of shuffles that nothing refers to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stage_table(df: DataFrame, tag: str, codec: str = "zstd", by: str | None = None) -> DataFrame:
     """Write df to the shared folder and read it again: cuts lineage and survives the loss of executors.
 
@@ -49,8 +55,7 @@ def stage_table(df: DataFrame, tag: str, codec: str = "zstd", by: str | None = N
     writer = df.write.option("compression", codec)
     (writer.partitionBy(by) if by else writer).parquet(path)
     del df, writer
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    release(spark)
     return spark.read.schema(schema).parquet(path)
 
 

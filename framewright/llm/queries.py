@@ -1,6 +1,7 @@
 """The training-data queries by name, and DuckDB SQL for those that SQL can express."""
 
 from .bpe import op6_byte_bpe
+from .hmm import op7_hmm
 from .jaccard import op2_jaccard
 from .mixing import OP5_SQL, op5_mixing
 from .mpegts import op4_transport_stream
@@ -16,6 +17,7 @@ QUERIES = {
     "op4_transport_stream": op4_transport_stream,
     "op5_mixing": op5_mixing,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_hmm": op7_hmm,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
 }
