@@ -9,6 +9,7 @@ from .pii import op10_pii
 from .quality import op9_quality
 from .substrings import op3_substrings
 from .tokenbin import op1_token_file
+from .wrappers import op8_html
 
 QUERIES = {
     "op1_token_file": op1_token_file,
@@ -18,6 +19,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_hmm": op7_hmm,
+    "op8_html": op8_html,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
 }
