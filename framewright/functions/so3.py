@@ -108,18 +108,18 @@ def quaternion_to_matrix(q: Column) -> Column:
     flat = lambda s: vec(
         (1 - s * (j * j + k * k), s * (i * j - k * r), s * (i * k + j * r), s * (i * j + k * r), 1 - s * (i * i + k * k), s * (j * k - i * r), s * (i * k - j * r), s * (j * k + i * r), 1 - s * (i * i + j * j))
     )
-    return F.when(s.isNotNull(), bind(s, flat))
+    return bind(s, lambda s: F.when(s.isNotNull(), flat(s)))
 
 
 def matrix_to_quaternion(m: Column) -> Column:
-    """Scalar last and not negative. At a half turn a component whose sign can't be told is 0."""
+    """Scalar last and not negative. At a half turn a component whose sign can't be told is 0. NULL of NULL."""
     x = parts(m, 9)
     root = lambda v: F.sqrt(F.greatest(v, F.lit(0.0))) / 2.0
     w = root(1.0 + x[0] + x[4] + x[8])
     i = root(1.0 + x[0] - x[4] - x[8]) * F.signum(x[7] - x[5])
     j = root(1.0 - x[0] + x[4] - x[8]) * F.signum(x[2] - x[6])
     k = root(1.0 - x[0] - x[4] + x[8]) * F.signum(x[3] - x[1])
-    return F.array(i, j, k, w)
+    return F.when(m.isNotNull(), F.array(i, j, k, w))
 
 
 def axis_angle_to_matrix(v: Column) -> Column:
@@ -163,7 +163,7 @@ def _basis(v: Column) -> Column:
 
 def rotation_6d_to_matrix(v: Column) -> Column:
     """The two vectors are the first two columns."""
-    return bind(_basis(v), transpose)
+    return bind(_basis(v), lambda m: F.when(m.isNotNull(), transpose(m)))
 
 
 def matrix_to_rotation_6d(m: Column) -> Column:
@@ -242,6 +242,10 @@ def align_axis(R: Column, p: Column, world: Column, gripper: Column | None = Non
     return (out if gripper is None else bind(out, lambda m: matmul(m, gripper, transpose_b=True))), matvec(world, p)
 
 
+def plus(a: Column, b: Column) -> Column:
+    return vec(x + y for x, y in zip(parts(a, 3), parts(b, 3)))
+
+
 def _minus(a: Column, b: Column) -> Column:
     return vec(x - y for x, y in zip(parts(a, 3), parts(b, 3)))
 

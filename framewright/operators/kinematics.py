@@ -96,25 +96,28 @@ def fk(df: DataFrame, chain: Chain, q: str, R: str = "R", p: str = "p") -> DataF
     return out.withColumns({R: F.slice("__pose", 1, 9), p: F.slice("__pose", 10, 3)}).drop("__pose")
 
 
+def _step(j: Joint, angle: Column | None):
+    """From the pose before a joint to the pose after it."""
+
+    def step(t: Column) -> Column:
+        turned = so3.matmul(t["R"], so3.vec(j.origin))
+        if angle is not None:
+            turn = so3.axis_angle_to_matrix(F.array(*[F.lit(a) * angle for a in j.axis]))
+            turned = so3.bind(turned, lambda m: so3.bind(turn, lambda r: so3.matmul(m, r)))
+        return F.struct(turned.alias("R"), so3.plus(t["p"], so3.matvec(t["R"], so3.vec(j.offset))).alias("p"))
+
+    return step
+
+
 def fk_columns(chain: Chain, q: Column) -> Column:
     """A struct (R, p) by Column expressions alone; each joint's pose is bound, so the expression grows with the chain only."""
     pose = F.struct(so3.vec((1, 0, 0, 0, 1, 0, 0, 0, 1)).alias("R"), so3.vec((0, 0, 0)).alias("p"))
     k = 0
     for j in chain.joints:
-        angle = F.get(q, F.lit(k)) if j.turns else None
+        pose = so3.bind(pose, _step(j, F.get(q, F.lit(k)) if j.turns else None))
         k += j.turns
-
-        def step(t: Column, j=j, angle=angle) -> Column:
-            moved = so3.matvec(t["R"], so3.vec(j.offset))
-            turned = so3.matmul(t["R"], so3.vec(j.origin))
-            if j.turns:
-                turn = so3.axis_angle_to_matrix(F.array(*[F.lit(a) * angle for a in j.axis]))
-                turned = so3.bind(turned, lambda m: so3.bind(turn, lambda r: so3.matmul(m, r)))
-            return F.struct(turned.alias("R"), F.zip_with(t["p"], moved, lambda a, b: a + b).alias("p"))
-
-        pose = so3.bind(pose, step)
     if any(chain.tool):
-        pose = so3.bind(pose, lambda t: F.struct(t["R"].alias("R"), F.zip_with(t["p"], so3.matvec(t["R"], so3.vec(chain.tool)), lambda a, b: a + b).alias("p")))
+        pose = so3.bind(pose, lambda t: F.struct(t["R"].alias("R"), so3.plus(t["p"], so3.matvec(t["R"], so3.vec(chain.tool))).alias("p")))
     return pose
 
 

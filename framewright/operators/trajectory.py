@@ -21,10 +21,22 @@ class Frames:
     def __init__(self, episode: str | list[str], order: str | list[str]):
         self.episode = [episode] if isinstance(episode, str) else list(episode)
         self.order = [order] if isinstance(order, str) else list(order)
-        self.by = W.partitionBy(*self.episode).orderBy(*self.order)
-        self.whole = W.partitionBy(*self.episode).orderBy(*self.order).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-        self.upto = self.by.rowsBetween(W.unboundedPreceding, W.currentRow)
-        self.onward = self.by.rowsBetween(W.currentRow, W.unboundedFollowing)
+
+    @property
+    def by(self):
+        return W.partitionBy(*self.episode).orderBy(*self.order)
+
+    @property
+    def whole(self):
+        return self.by.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+
+    @property
+    def upto(self):
+        return self.by.rowsBetween(W.unboundedPreceding, W.currentRow)
+
+    @property
+    def onward(self):
+        return self.by.rowsBetween(W.currentRow, W.unboundedFollowing)
 
 
 def with_frame_index(df: DataFrame, f: Frames, name: str = "frame_index") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .functions import signals, so3, text
 from .operators import kinematics, meta, resample, stats, trajectory
 from .operators.trajectory import Frames
-from .plans import packing
+from .plans import packing, registry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -525,7 +525,7 @@ def vector_encode_pad(spark, d):
     return e.select("vec_id", rd(F.get(enc, F.lit(0))).alias("x0"), rd(F.element_at(enc, -1)).alias("last"), F.size(enc).alias("width"), rd(signals.clip(g)).alias("clipped"), rd(signals.invert_clipped(g)).alias("inverted"), rd(signals.halve_signed(g)).alias("halved"))
 
 
-@query("select event_id, case when event_type = 'click' then value else 0.0 end as command, case when event_type = 'click' then 1.0 else 0.0 end as active from events")
+@query("select event_id, case when event_type = 'click' then value else 0.0 end as command, case when event_type = 'click' then 1.0::double else 0.0::double end as active from events")
 def control_mode_routing(spark, d):
     cmd, active = signals.route(F.col("event_type"), "click", F.array("value"), 1)
     return events(spark, d).select("event_id", F.get(cmd, F.lit(0)).alias("command"), active.cast("double").alias("active"))
@@ -654,7 +654,37 @@ def rotation_invariants(spark, d):
 _PLANAR = kinematics.Chain(tuple(kinematics.Joint(f"j{k}", True, (1, 0, 0, 0, 1, 0, 0, 0, 1), (0.1 * k, 0.0, 0.05), (0.0, 0.0, 1.0)) for k in range(3)), (0.2, 0.0, 0.0))
 
 
-@query(f"""with p as ({_POSES}) select vec_id, round(0.1 * cos(e17) + 0.2 * cos(e17 + e18) + 0.2 * cos(e17 + e18 + e19), 6) + 0.0 as x, round(0.1 * sin(e17) + 0.2 * sin(e17 + e18) + 0.2 * sin(e17 + e18 + e19), 6) + 0.0 as y, 0.15 as z from p""")
+@query(f"""with p as ({_POSES}) select vec_id, round(0.1 * cos(e17) + 0.2 * cos(e17 + e18) + 0.2 * cos(e17 + e18 + e19), 6) + 0.0 as x, round(0.1 * sin(e17) + 0.2 * sin(e17 + e18) + 0.2 * sin(e17 + e18 + e19), 6) + 0.0 as y, 0.15::double as z from p""")
 def fk_serial_chain(spark, d):
     p = kinematics.fk(poses(spark, d).withColumn("j", F.slice("q", 1, 3)), _PLANAR, "j")
     return p.select("vec_id", *[rd(F.get("p", F.lit(k))).alias(n) for k, n in enumerate("xyz")])
+
+
+# --- dataset rules -------------------------------------------------------------------------------
+def _steps(spark, d):
+    """embeddings as native steps: observation.state of 8, action of 7."""
+    e = table(spark, d, "embeddings").withColumn("v", F.transform("embedding", lambda x: x.cast("double")))
+    return e.select("label", "vec_id", F.struct(F.slice("v", 1, 8).alias("state")).alias("observation"), F.slice("v", 9, 7).alias("action"))
+
+
+@query("""select vec_id, """ + ", ".join(f"round(embedding[{9 + k}]::double, 6) + 0.0 as a{k}" for k in range(6)) + """, round(1 - least(greatest(embedding[15]::double, 0), 1), 6) as a6, 2 as grip_width, round(embedding[1]::double, 6) as e0 from embeddings""")
+def rule_libero(spark, d):
+    out = registry.standardize(_steps(spark, d), "libero_spatial_no_noops", POSES)
+    return out.select("vec_id", *[rd(F.get("action", F.lit(k))).alias(f"a{k}") for k in range(7)], F.size("gripper_state").alias("grip_width"), rd(F.get("eef_state", F.lit(0))).alias("e0"))
+
+
+_BO = f"with p as ({_POSES}), m as (select *, {', '.join(f'{x} as m{k}' for k, x in enumerate(_EXTRINSIC))} from p)"
+_WIDOWX_T = [str(so3.alignment_rows(*so3.ALIGNMENTS["widowx"])[j][i]) for i in range(3) for j in range(3)]
+
+
+@query(_BO + f""", s as (select *, case when e15 > 0.95 then 1.0 when e15 < 0.05 then 0.0 end as st from m)
+select vec_id, {_sql_matrix('r', _sql_product(_M, _WIDOWX_T))}, round(e7, 6) + 0.0 as state_grip, round(coalesce(first_value(st ignore nulls) over ({_P} rows between current row and unbounded following), last_value(e15) over ({_P} rows between unbounded preceding and unbounded following)), 6) + 0.0 as target_grip from s""")
+def rule_bridge_orig(spark, d):
+    out = registry.standardize(_steps(spark, d), "bridge_orig", POSES)
+    return out.select("vec_id", *_matrix("r", F.col("state.eef_rot9d")), rd(F.get("state.gripper_state", F.lit(0))).alias("state_grip"), rd(F.get("target.gripper_state", F.lit(0))).alias("target_grip"))
+
+
+@query("select name, fps, robot, state_width, action_width from (values " + ", ".join(f"('{n}', {x.fps}::double, '{x.robot}', {sum(registry.ENCODINGS[x.state].values())}::bigint, {sum(registry.ENCODINGS[x.action].values())}::bigint)" for n, x in sorted(registry.DATASETS.items())) + ") v(name, fps, robot, state_width, action_width)")
+def dataset_registry(spark, d):
+    rows = [(n, x.fps, x.robot, sum(registry.ENCODINGS[x.state].values()), sum(registry.ENCODINGS[x.action].values())) for n, x in registry.DATASETS.items()]
+    return spark.createDataFrame(rows, "name string, fps double, robot string, state_width long, action_width long")
