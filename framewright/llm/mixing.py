@@ -93,7 +93,8 @@ def mix(df: DataFrame, row: list[str], text_col: str = "text", source_col: str =
     pieces = lined.where("size > 0").withColumn("block", F.explode(F.expr(f"sequence({block_of('start')}, {block_of('start + size - 1')})")))
     at = "block * base + least(block, extra)"
     words = F.expr(f"least(start + size, {at} + base + if(block < extra, 1, 0)) - greatest(start, {at})")
-    given = pieces.select("sid", "block", "start", words.alias("words")).join(schedule(sources), ["sid", "block"])
+    # Both sides grow with the corpus; the planner takes the pieces for as small as the rows that they come from.
+    given = pieces.select("sid", "block", "start", words.alias("words")).hint("merge").join(schedule(sources).hint("merge"), ["sid", "block"])
     given = given.groupBy("sid", "start").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     out = lined.where("size > 0").join(given, ["sid", "start"], "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
     none = lined.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
