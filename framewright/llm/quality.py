@@ -94,9 +94,9 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, most: int =
     trusted = F.broadcast(trusted_ids(labels, most).withColumn("t", F.lit(1)))
     grams = docs.select("doc_id", "text").join(trusted, "doc_id", "left").select(F.coalesce("t", F.lit(0)).alias("t"), F.explode(ngram_buckets(F.col("text"), buckets)).alias("bucket"))
     counts = common.stage_table(grams.groupBy("bucket").agg(F.count("*").alias("c"), F.sum("t").alias("ct")), "ngrams")
-    total = counts.agg(F.sum("c").alias("n"), F.sum("ct").alias("nt"))
-    ratio = F.log((F.col("ct") + 1) / (F.col("nt") + buckets)) - F.log((F.col("c") + 1) / (F.col("n") + buckets))
-    model = counts.join(F.broadcast(total)).select("bucket", F.when(F.col("nt") > 0, F.round(ratio, 6)).otherwise(0.0).alias("ratio"))
+    n, nt = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("ct"), F.lit(0))).first()
+    ratio = F.log((F.col("ct") + 1) / F.lit(nt + buckets)) - F.log((F.col("c") + 1) / F.lit(n + buckets))
+    model = counts.select("bucket", (F.round(ratio, 6) if nt else F.lit(0.0)).alias("ratio"))
     return common.stage_table(model, "ratios")
 
 
