@@ -115,18 +115,17 @@ class WordEncoder:
         self.known.update({w: cores[a] + marks[b] if b else cores[a] for w, (a, b) in cut.items()})
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > self.most:
+        if len(self.known) > self.most:
             self.known.clear()
-            new = set().union(*split)
         if len(self.cores) > self.most:
             self.cores = {b"": b""}
         if len(self.marks) > self.most // 4:
             self.marks.clear()
-        self._learn(new)
-        get = self.known.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        known = self.known
+        split = [t.split() for t in texts]
+        found = [list(map(known.get, s)) for s in split]
+        self._learn({w for s, f in zip(split, found) if None in f for w, x in zip(s, f) if x is None})
+        return [b"".join([known[w] if x is None else x for w, x in zip(s, f)] if None in f else f) for s, f in zip(split, found)]
 
 
 class PlainEncoder:
