@@ -56,7 +56,16 @@ def stage_table(df: DataFrame, tag: str, codec: str = "zstd", by: str | None = N
     (writer.partitionBy(by) if by else writer).parquet(path)
     del df, writer
     release(spark)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(df: DataFrame, part: str = "") -> None:
+    """Delete a staged table (or a part of it) that nothing will read again."""
+    jvm, spark = df.sparkSession.sparkContext._jvm, df.sparkSession
+    at = jvm.org.apache.hadoop.fs.Path(f"{df.staged_at}/{part}" if part else df.staged_at)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -12,9 +12,10 @@ Sets that are equal are one class from the start. Then:
 
 1. Keys meet in buckets. Whoever shares a key with others is a candidate of the key's first class.
 2. A candidate pair must pass the sizes, the Hamming distance of 1024-bit parity sketches, and the exact sets.
-3. Keys that still hold several components give their pairs across components; those pass the same three tests. A key
-   with very many classes is dealt to tasks as pairs of chunks. What is in one component already is left alone, so a
-   group of near copies never comes to all its pairs.
+3. In keys that still hold several components, each class outside the key's largest takes its nearest partner by sketch
+   in another component, then the next three, twelve and so on, as long as there are any; those pass the same tests, and
+   components grow between the rounds. So a group of near copies never comes to all its pairs, and none that could
+   link two components is left out. A key with very many classes is dealt to tasks as pairs of chunks.
 4. Connected components of the links.
 
 A task sends a class once, and a key once for each slice; the rest of a slice's holders of a key go past the buckets.
@@ -172,7 +173,7 @@ def _send(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
             if not len(key):
                 continue
             bucket = (key >> U(40)) % U(buckets)
-            key, cls = bucket << U(40) | key & U((1 << 40) - 1), s.classes[who]
+            key, cls = bucket << U(40) | key & U((1 << 40) - 2), s.classes[who]  # the last bit: several classes here
             order = np.lexsort((cls, key))
             key, cls = key[order], cls[order]
             start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
@@ -181,7 +182,7 @@ def _send(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
             more = np.repeat(count > 1, count) & (cls != first)
             if more.any():
                 yield _table(_NAMES, _TYPES, kind=np.full(int(more.sum()), 2, np.int32), key=key[more].view(np.int64), cls=cls[more], first=first[more])
-            key, cls = key[start], cls[start]
+            key, cls = key[start] | (count > 1), cls[start]
             rows = [(b, pack5(k) + c.astype("<i8").tobytes()) for b, (k, c) in _by_bucket(key >> U(40), key, cls)]
             yield _table(_NAMES, _TYPES, kind=np.ones(len(rows), np.int32), bucket=[b for b, _ in rows], packed=[p for _, p in rows])
 
@@ -196,15 +197,24 @@ def _meet(table: pa.Table) -> pa.Table:
         keys.append(unpack5(p[: 5 * n]))
         classes.append(np.frombuffer(p[5 * n :], "<i8"))
     key, cls = np.concatenate(keys), np.concatenate(classes)
-    order = np.lexsort((cls, key))
+    order = np.lexsort((cls, key >> U(1)))
     key, cls = key[order], cls[order]
-    new = np.append(True, (key[1:] != key[:-1]) | (cls[1:] != cls[:-1]))
-    key, cls = key[new], cls[new]
+    new = np.append(True, ((key[1:] ^ key[:-1]) > U(1)) | (cls[1:] != cls[:-1]))
+    several = np.bitwise_or.reduceat(key & U(1), np.flatnonzero(new)) > 0
+    key, cls = key[new] & ~U(1), cls[new]
     start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
     count = np.diff(np.append(start, len(key)))
-    first, many = np.repeat(cls[start], count), np.repeat(count > 1, count)
-    key = (U(bucket) << U(40) | key).view(np.int64)
-    return pa.table({"key": key[many], "cls": cls[many], "first": first[many]})
+    several = np.logical_or.reduceat(several, start)
+    first = np.repeat(cls[start], count)
+    pair = np.repeat(count > 1, count) & (cls != first)
+    # Keys of two classes are done with their pair; the members of others may have to be compared.
+    held = np.repeat((count > 2) | (count > 1) & several, count)
+    a, b = np.minimum(cls[pair], first[pair]), np.maximum(cls[pair], first[pair])
+    pairs = np.unique(np.stack([a, b]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
+    key = (U(bucket) << U(40) | key[held]).view(np.int64)
+    none = lambda n: pa.nulls(n, pa.int64())
+    n, m = pairs.shape[1], len(key)
+    return pa.table({"key": pa.concat_arrays([none(n), pa.array(key)]), "cls": pa.array(np.concatenate([pairs[0], cls[held]])), "first": pa.concat_arrays([pa.array(pairs[1]), none(m)])})
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
@@ -233,9 +243,8 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def _verify(near: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs that link, by their exact sets, which are made anew from a text of each class."""
-    wanted = near.select(F.col("a").alias("cls")).unionByName(near.select(F.col("b").alias("cls"))).distinct()
+def _sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """(cls, hashes): the exact sets of the classes, made anew from a text of each."""
     ids = wanted.join(classes, "cls").select(F.col("rep").alias("doc_id")).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,6 +253,13 @@ def _verify(near: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percen
             packed = [s.hashes[x:y].astype("<u8").tobytes() for x, y in zip(s.first[:-1].tolist(), s.first[1:].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(s.classes), pa.array(packed, pa.binary())], ["cls", "hashes"])
 
+    made = docs.join(ids, docs.doc_id.eqNullSafe(ids.doc_id), "left_semi").select("text").mapInArrow(sets, "cls long, hashes binary")
+    return common.stage_table(made.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
+
+
+def _verify(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that link."""
+
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
             ok = []
@@ -255,39 +271,51 @@ def _verify(near: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percen
                 ok.append(100 * same >= percent * (len(p) + len(q) - same))
             yield rb.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    made = docs.join(ids, docs.doc_id.eqNullSafe(ids.doc_id), "left_semi").select("text").mapInArrow(sets, "cls long, hashes binary")
-    made = common.stage_table(made.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
-    a, b = (made.select(F.col("cls").alias(x), F.col("hashes").alias(f"h{x}")) for x in "ab")
+    a, b = (sets.select(F.col("cls").alias(x), F.col("hashes").alias(f"h{x}")) for x in "ab")
     return near.join(a, "a").join(b, "b").select("a", "b", "ha", "hb").mapInArrow(exact, "a long, b long")
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one key's classes in different components that sizes and sketches allow; members: key, cls, comp, n, sketch.
+def _across(members: DataFrame, percent: int, low: int, high: int) -> DataFrame:
+    """Pairs (a, b) of one key's classes in different components; members: key, cls, comp, big, n, sketch.
 
+    A class that isn't big (in its key's largest component at the start) takes those of its partners, nearest first by
+    sketch, that are low-th to before high-th of what sizes and sketches allow. A row without b: there are more beyond.
     A key with more than CHUNK classes is cut into chunks, and each pair of chunks is a group of its own.
     """
-    sizes = members.groupBy("key").agg(F.count("*").alias("g")).where(f"g > {CHUNK}").withColumn("chunks", F.ceil(F.col("g") / CHUNK))
-    dealt = members.join(sizes.select("key", "chunks"), "key", "left")
-    own = F.pmod(F.xxhash64("cls"), F.coalesce("chunks", F.lit(1)))
-    dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("chunks", F.lit(1)).cast("long") - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "comp", "n", "sketch")
+    sizes = members.groupBy("key").agg(F.count("*").alias("g")).where(f"g > {CHUNK}").select("key", F.ceil(F.col("g") / CHUNK).cast("long").alias("chunks"))
+    dealt = members.join(sizes, "key", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1).cast("long")))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("cls"), "chunks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "comp", "big", "n", "sketch")
 
     def run(table: pa.Table) -> pa.Table:
         cls, comp, size = (table.column(c).to_numpy() for c in ("cls", "comp", "n"))
+        big = table.column("big").to_numpy(zero_copy_only=False)
         sketch = _sketch_array(table.column("sketch").combine_chunks()).view(np.uint64)
-        a, b = [], []
-        for k in range(len(cls) - 1):
-            rest = np.flatnonzero(comp[k + 1 :] != comp[k]) + k + 1
-            if len(rest):
-                rest = rest[_passes(size[k], size[rest], sketch[k], sketch[rest], percent)]
-                a.append(np.full(len(rest), cls[k]))
-                b.append(cls[rest])
+        a, b, more = [], [], False
+        for k in np.flatnonzero(~big):
+            far = _popcount(sketch[k] ^ sketch)
+            ok = (100 * np.minimum(size[k], size) >= percent * np.maximum(size[k], size)) & (far <= bound(size[k] + size, percent))
+            ok[k] = False
+            near = np.flatnonzero(ok)
+            near = near[np.lexsort((cls[near], far[near]))]
+            more = more or bool((comp[near[high:]] != comp[k]).any())
+            near = near[low:high]
+            near = near[comp[near] != comp[k]]
+            a.append(np.full(len(near), cls[k]))
+            b.append(cls[near])
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
+        more = int(more)
+        return pa.table({"a": pa.concat_arrays([pa.array(pairs[0]), pa.array([0] * more, pa.int64())]), "b": pa.concat_arrays([pa.array(pairs[1]), pa.nulls(more, pa.int64())])})
 
     return dealt.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
+def _labelled(df: DataFrame, labels: DataFrame) -> DataFrame:
+    """df with ``comp``, the component of its class so far."""
+    return df.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("label", "cls")).drop("label")
+
+
 def jaccard_groups(df: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id of the links with 100 |A&B| >= percent |A|B|."""
     docs = common.text_rows(df, id_col, text_col)
@@ -299,21 +327,39 @@ def jaccard_groups(df: DataFrame, n: int, percent: int, id_col: str = "doc_id",
     sketches = rows.where("sketch is not null").select("cls", "n", "sketch").dropDuplicates(["cls"])
     classes = common.stage_table(reps.join(sketches, "cls"), "classes")
     met = sent.where("kind = 1").select("bucket", "packed").groupBy("bucket").applyInArrow(_meet, "key long, cls long, first long")
-    met = common.stage_table(met.unionByName(sent.where("kind = 2").select("key", "cls", "first")), "met")
-    pairs = met.where("cls <> first").select(F.least("cls", "first").alias("a"), F.greatest("cls", "first").alias("b")).distinct()
-    links = common.stage_table(_verify(common.stage_table(_near(pairs, classes, percent), "near"), classes, docs, n, percent), "links")
+    met = common.stage_table(met, "met")
+    common.discard(sent, "kind=1")
+    beside = sent.where("kind = 2").select("key", "cls", "first")
+    pairs = met.where("key is null").select(F.col("cls").alias("a"), F.col("first").alias("b")).unionByName(beside.select(F.least("cls", "first").alias("a"), F.greatest("cls", "first").alias("b"))).distinct()
+    near = common.stage_table(_near(pairs, classes, percent), "near")
+    holders = met.where("key is not null").select("key", "cls").unionByName(beside.select("key", "cls")).unionByName(beside.select("key", F.col("first").alias("cls"))).distinct()
+    # Keys of two classes are done with their pair.
+    holders = common.stage_table(holders.join(holders.groupBy("key").count().where("count > 2").select("key"), "key", "left_semi"), "holders")
+    wanted = near.select(F.col("a").alias("cls")).unionByName(near.select(F.col("b").alias("cls"))).unionByName(holders.select("cls")).distinct()
+    sets = _sets(common.stage_table(wanted, "wanted"), classes, docs, n)
+    links = common.stage_table(_verify(near, sets, percent), "links")
     labels = components(links)
+    holders = _labelled(holders, labels)
     # Keys that hold several components; many keys hold the same classes, and one of them is enough.
-    holders = met.select("key", "cls").unionByName(met.select("key", F.col("first").alias("cls"))).distinct()
-    holders = holders.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("label", "cls"))
-    open_keys = holders.groupBy("key").agg(F.count("*").alias("g"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("who"))
-    open_keys = open_keys.where("g > 2 and c0 <> c1").groupBy("g", "c0", "c1", "who").agg(F.min("key").alias("key")).select("key")
-    members = holders.join(open_keys, "key").join(classes, "cls").select("key", "cls", "comp", "n", "sketch")
-    more = common.stage_table(_across(members, percent), "across")
-    if more.limit(1).count():
-        links = links.unionByName(common.stage_table(_verify(more, classes, docs, n, percent), "links"))
-        labels = components(links)
-    named = classes.select("cls", "rep").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("label", "cls"))
+    own = holders.groupBy("key", "comp").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"))
+    keys = own.groupBy("key").agg(F.sum("c").alias("g"), F.count("*").alias("comps"), F.max_by("comp", F.struct("c", "comp")).alias("most"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    keys = keys.where("comps > 1").groupBy("g", "x", "y").agg(F.min(F.struct("key", "most")).alias("k")).select("k.key", "k.most")
+    members = holders.join(keys, "key").join(classes, "cls").select("key", "cls", (F.col("comp") == F.col("most")).alias("big"), "n", "sketch")
+    members = common.stage_table(members, "members")
+    low, high = 0, 1
+    while True:
+        here = _labelled(members, labels)
+        still = here.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key")
+        found = common.stage_table(_across(here.join(still, "key"), percent, low, high), "across")
+        fresh = found.where("b is not null")
+        if fresh.limit(1).count():
+            links = links.unionByName(common.stage_table(_verify(fresh, sets, percent), "links"))
+            labels = components(links)
+        if not found.where("b is null").limit(1).count():
+            break
+        low, high = high, 4 * high
+    common.discard(sets)
+    named = _labelled(classes.select("cls", "rep"), labels)
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = named.join(least, "comp").select("cls", "component_id")
     done = rows.where("n > 0").join(named, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
