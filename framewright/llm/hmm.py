@@ -160,36 +160,37 @@ def expect(model: Model, symbols: np.ndarray, first: np.ndarray) -> tuple[np.nda
     begin = first[:-1][text] + SEGMENT * (np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per))
     length = np.minimum(SEGMENT, first[1:][text] - begin)
     s = model.states
-    starts, moves, emits = np.zeros(s), np.zeros((s, s)), np.zeros_like(model.emit)
+    starts, moves, emits, ones = np.zeros(s), np.zeros((s, s)), np.zeros_like(model.emit), np.ones(s)
     for a in range(0, len(begin), 8192):
         order = np.argsort(-length[a : a + 8192], kind="stable") + a
         b, n = begin[order], length[order]
         steps = int(n[0])
         alive = np.searchsorted(-n, -np.arange(steps), "left")  # texts longer than t
-        alpha, seen, scale = np.zeros((steps, len(b), s)), np.zeros((steps, len(b), s)), np.ones((steps, len(b)))
+        # All symbols of the chunk step after step, and what each step has of them: rows at[t]:at[t + 1].
+        at = np.append(0, np.cumsum(alive))
+        flat = np.concatenate([symbols[b[:k] + t] for t, k in enumerate(alive)])
+        seen = model.emit[flat]
+        alpha, scale = np.empty_like(seen), np.empty(len(flat))
         for t in range(steps):
-            k = alive[t]
-            e = model.emit[symbols[b[:k] + t]]
-            x = (alpha[t - 1, :k] @ model.move if t else model.start) * e
-            scale[t, :k] = x.sum(1)
-            alpha[t, :k] = x / scale[t, :k, None]
-            seen[t, :k] = e
+            k, here = alive[t], slice(at[t], at[t + 1])
+            x = (alpha[at[t - 1] : at[t - 1] + k] @ model.move if t else model.start) * seen[here]
+            scale[here] = x @ ones
+            np.divide(x, scale[here, None], out=alpha[here])
         beta = np.ones((len(b), s))
         for t in range(steps - 1, -1, -1):
-            k = alive[t]
-            gamma = alpha[t, :k] * beta[:k]
-            gamma /= gamma.sum(1, keepdims=True)
-            flat = symbols[b[:k] + t]
-            for j in range(s):
-                emits[:, j] += np.bincount(flat, gamma[:, j], len(emits)) if k > 4096 else 0
-            if k <= 4096:
-                np.add.at(emits, flat, gamma)
+            k, here = alive[t], slice(at[t], at[t + 1])
+            if t:
+                before = alpha[at[t - 1] : at[t - 1] + k]
+                y = seen[here] * beta[:k] / scale[here, None]
+                moves += model.move * (before.T @ y)
+            gamma = alpha[here]
+            gamma *= beta[:k]
+            gamma /= (gamma @ ones)[:, None]
             if t:
-                y = seen[t, :k] * beta[:k] / scale[t, :k, None]
-                moves += model.move * (alpha[t - 1, :k].T @ y)
                 beta[:k] = y @ model.move.T
-            else:
-                starts += gamma.sum(0)
+        starts += alpha[: at[1]].sum(0)
+        for j in range(s):
+            emits[:, j] += np.bincount(flat, alpha[:, j], len(emits))
     return starts, moves, emits
 
 
@@ -203,11 +204,11 @@ def log10_likelihood(model: Model, symbols: np.ndarray, first: np.ndarray) -> np
         return out
     steps = int(n[0])
     alive = np.searchsorted(-n, -np.arange(steps), "left")
-    x, total, product = None, np.zeros(len(b)), np.ones(len(b))
+    x, total, product, ones = None, np.zeros(len(b)), np.ones(len(b)), np.ones(model.states)
     for t in range(steps):
         k = alive[t]
         x = (x[:k] @ model.move if t else model.start) * model.emit[symbols[b[:k] + t]]
-        norm = x.sum(1)
+        norm = x @ ones
         x /= norm[:, None]
         product[:k] *= norm
         if t & 15 == 15:
