@@ -9,8 +9,9 @@ the partitions' wrappers of a host into one; both are bounded by the structure o
 
 The wrapper tells where the main text is: an element named for it (article, main), else the element whose slots hold
 the most text, descending while one child holds most. Within it, navigation, headers, footers, asides, forms, scripts,
-notices, adverts and comments are left out by tag and by the words of class and id; so is text that never varies over
-several pages, unless the element is named for the main text. A page without the wrapper's place is its own wrapper.
+notices, adverts and comments are left out by tag and by the words of class and id; so is text that all of several
+pages have there and that never varies while a slot beside it takes several texts, unless the element is named for the
+main text or nothing would be left. A page without the wrapper's place is its own wrapper.
 
 Null, empty and tag-free html: the text there is, if any, is one block; hosts are taken from the url, null and odd urls
 being one host ''. Repeated rows each give a row.
@@ -20,8 +21,9 @@ from __future__ import annotations
 
 import html as entities
 import json
+import operator
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +34,9 @@ from . import common
 #: Copies of each wrapper that its host's pages are dealt to.
 SALTS = 32
 
+#: Different texts that a slot must take before another that doesn't vary counts as constant.
+SEVERAL = 4
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template svg math iframe".split())
 SKIPPED = frozenset("head script style noscript template svg math iframe nav header footer aside form button select option textarea input label dialog menu title".split())
@@ -105,23 +110,38 @@ def skipped(tag: str, names: str) -> bool:
     return tag in SKIPPED or bool(names and BOILERPLATE.search(names))
 
 
-# A wrapper's element: [label, optional, repeated, slot, size, elements]; slot: None no text, a string a constant one, 1
-# varying; size: characters of its own text over all pages. A wrapper: [pages, element of the root].
+# A wrapper's element: [label, optional, repeated, slot, size, elements, pages, filled, texts]; slot: None no text, a string
+# a constant one, 1 varying; size: characters of its own text over all pages; pages: those that have it, and filled: those
+# that fill its slot; texts: the least SEVERAL of the slot's distinct ones. A wrapper: [pages, element of the root].
 
 
 def _own_text(node: Node) -> str:
     return " ".join("".join(c for c in node.children if isinstance(c, str)).split())
 
 
+def _said(text: str) -> str:
+    return text[:200]
+
+
 def _generalise(node: Node) -> list:
+    return _generalised(node)[0]
+
+
+def _generalised(node: Node) -> tuple[list, str]:
+    """(element, its own text)"""
     own = _own_text(node) if node.tag not in RAW else ""
     inner = [_generalise(c) for c in node.children if isinstance(c, Node) and c.tag not in PHRASING]
     for c in node.children:
         if isinstance(c, Node) and c.tag in PHRASING:
-            below = _generalise(c)
-            own = f"{own} {below[3] if isinstance(below[3], str) else ''}".strip()
+            below, text = _generalised(c)
+            own = f"{own} {text}".strip()
             inner += below[5]
-    return [label(node), False, False, own[:200] or None, len(own), _fold(inner)]
+    texts = [_said(own)] if own else []
+    return [label(node), False, False, _slot(texts), len(own), _fold(inner), 1, len(texts), texts], own
+
+
+def _slot(texts: list[str]) -> str | int | None:
+    return 1 if len(texts) > 1 else texts[0] if texts else None
 
 
 def _fold(elements: list) -> list:
@@ -129,22 +149,23 @@ def _fold(elements: list) -> list:
     out = []
     for e in elements:
         if out and out[-1][0] == e[0]:
-            out[-1] = _merge(out[-1], e)
+            out[-1] = _merge(out[-1], e, max)
             out[-1][2] = True
         else:
             out.append(e)
     return out
 
 
-def _merge(a: list, b: list) -> list:
-    slot = a[3] if a[3] == b[3] else (a[3] or b[3]) if None in (a[3], b[3]) else 1
-    return [a[0], a[1] or b[1], a[2] or b[2], slot, a[4] + b[4], align(a[5], b[5])]
+def _merge(a: list, b: list, pages: Callable[[int, int], int] = operator.add) -> list:
+    """pages: how numbers of pages meet; those of neighbours on one page don't add up."""
+    texts = a[8] if a[8] == b[8] else sorted({*a[8], *b[8]})[:SEVERAL]
+    return [a[0], a[1] or b[1], a[2] or b[2], _slot(texts), a[4] + b[4], align(a[5], b[5], pages), pages(a[6], b[6]), pages(a[7], b[7]), texts]
 
 
-def align(a: list, b: list) -> list:
+def align(a: list, b: list, pages: Callable[[int, int], int] = operator.add) -> list:
     """The least sequence of elements that matches both: common subsequence, the rest optional."""
     if [x[0] for x in a] == [x[0] for x in b]:
-        return [_merge(x, y) for x, y in zip(a, b)]
+        return [_merge(x, y, pages) for x, y in zip(a, b)]
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
@@ -153,7 +174,7 @@ def align(a: list, b: list) -> list:
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and a[i][0] == b[j][0]:
-            out.append(_merge(a[i], b[j]))
+            out.append(_merge(a[i], b[j], pages))
             i, j = i + 1, j + 1
         elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
             out.append([a[i][0], True, *a[i][2:]])
@@ -213,23 +234,28 @@ def main_path(wrapper: list) -> tuple[list[str], bool]:
 
 
 def _constant(wrapper: list, path: list[str]) -> set[str]:
-    """Texts under the path that never vary though the host has several pages."""
-    if wrapper[0] < 4:
-        return set()
+    """Texts under the path that never vary, on all of several pages, while another slot there takes several texts."""
     here = [wrapper[1]]
     for name in path[1:]:
         here = [x for e in here for x in e[5] if x[0] == name]
+    pages = max((e[6] for e in here), default=0)
+    if pages < SEVERAL:
+        return set()
     out: set[str] = set()
+    most = 0
 
     def gather(e: list) -> None:
-        if isinstance(e[3], str) and not e[1] and not e[2]:
+        nonlocal most
+        most = max(most, len(e[8]))
+        if isinstance(e[3], str) and e[7] == pages and not e[1] and not e[2]:
             out.add(e[3])
         for x in e[5]:
             gather(x)
 
     for e in here:
         gather(e)
-    return out
+    # Copies of a page don't tell what is constant: their main texts are equal.
+    return out if most >= SEVERAL else set()
 
 
 def _find(root: Node, path: list[str]) -> list[Node]:
@@ -270,14 +296,14 @@ def blocks(node: Node) -> list[str]:
 def extract(page: str, wrapper: list | None, plan: tuple | None = None) -> str:
     root = parse(page)
     path, named = plan[:2] if plan else main_path(wrapper or [1, _generalise(root)])
+    constant = plan[2] if plan else set()
     places = _find(root, path)
     if not places:
-        own = [1, _generalise(root)]
-        path, named = main_path(own)
-        places = _find(root, path)
+        path, named = main_path([1, _generalise(root)])
+        places, constant = _find(root, path), set()
     found = [b for n in places for b in blocks(n)]
-    if not named and plan and plan[2]:
-        found = [b for b in found if b[:200] not in plan[2]]
+    if not named:
+        found = [b for b in found if _said(b) not in constant] or found
     return "\n".join(found)
 
 

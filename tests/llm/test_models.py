@@ -245,6 +245,26 @@ def test_all_article_text_of_the_table(spark, sf):
         assert r.text == "\n".join(x for x in parts if x)
 
 
+def main_texts(spark, pages):
+    df = spark.createDataFrame([(i, f"http://host.org/{i}", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in wrappers.extract_main(df).orderBy("page_id").collect()]
+
+
+def test_copies_of_a_page_keep_their_text(spark):
+    page = '<div class="content"><h1>Title</h1><p>The whole text</p></div>'
+    assert main_texts(spark, [page] * 5) == ["Title\nThe whole text"] * 5
+    assert main_texts(spark, [page] * 5 + [page.replace("Title", "Other")])[:5] == ["Title\nThe whole text"] * 5
+
+
+def test_text_of_one_page_is_not_constant(spark):
+    page = '<div class="content"><h1>Title {0}</h1><p>{1}</p><p>By us</p><div>{2}</div></div>'
+    got = main_texts(spark, [page.format(i, f"text {i}", "only here" if i == 2 else "") for i in range(5)])
+    assert got == [f"Title {i}\ntext {i}\nBy us" + "\nonly here" * (i == 2) for i in range(5)]
+    page = '<div class="content"><h1>Title {0}</h1><h2>By us</h2><div>{1}</div></div>'
+    got = main_texts(spark, [page.format(i, "<p>only here</p>" * (i == 2)) for i in range(5)])
+    assert got == [f"Title {i}" + "\nonly here" * (i == 2) for i in range(5)]
+
+
 # --- all together --------------------------------------------------------------------------------
 def test_pipeline_stages(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
