@@ -19,6 +19,7 @@ being one host ''. Repeated rows each give a row.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import operator
@@ -111,16 +112,18 @@ def skipped(tag: str, names: str) -> bool:
 
 
 # A wrapper's element: [label, optional, repeated, slot, size, elements, pages, filled, texts]; slot: None no text, a string
-# a constant one, 1 varying; size: characters of its own text over all pages; pages: those that have it, and filled: those
-# that fill its slot; texts: the least SEVERAL of the slot's distinct ones. A wrapper: [pages, element of the root].
+# the hash of a constant one, 1 varying; size: characters of its own text over all pages; pages: those that have it, and
+# filled: those that fill its slot; texts: the least SEVERAL of the slot's distinct hashes. A wrapper: [pages, element of
+# the root].
 
 
 def _own_text(node: Node) -> str:
     return " ".join("".join(c for c in node.children if isinstance(c, str)).split())
 
 
-def _said(text: str) -> str:
-    return text[:200]
+def _hashed(block: str) -> str:
+    """A 64-bit hash of a block's whole text."""
+    return hashlib.blake2b(block.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
 
 
 def _generalise(node: Node) -> list:
@@ -136,7 +139,7 @@ def _generalised(node: Node) -> tuple[list, str]:
             below, text = _generalised(c)
             own = f"{own} {text}".strip()
             inner += below[5]
-    texts = [_said(own)] if own else []
+    texts = [_hashed(t)] if (t := " ".join(entities.unescape(own).split())) else []
     return [label(node), False, False, _slot(texts), len(own), _fold(inner), 1, len(texts), texts], own
 
 
@@ -302,8 +305,8 @@ def extract(page: str, wrapper: list | None, plan: tuple | None = None) -> str:
         path, named = main_path([1, _generalise(root)])
         places, constant = _find(root, path), set()
     found = [b for n in places for b in blocks(n)]
-    if not named:
-        found = [b for b in found if _said(b) not in constant] or found
+    if constant and not named:
+        found = [b for b in found if _hashed(b) not in constant] or found
     return "\n".join(found)
 
 

@@ -265,6 +265,12 @@ def test_text_of_one_page_is_not_constant(spark):
     assert got == [f"Title {i}" + "\nonly here" * (i == 2) for i in range(5)]
 
 
+def test_texts_of_equal_beginning_differ(spark):
+    same = "the same words " * 20
+    page = '<div class="content"><h1>Title {0}</h1><p>' + same + "{0}</p><div>By A &amp; B</div></div>"
+    assert main_texts(spark, [page.format(i) for i in range(5)]) == [f"Title {i}\n{same}{i}" for i in range(5)]
+
+
 # --- all together --------------------------------------------------------------------------------
 def test_pipeline_stages(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
