@@ -11,7 +11,9 @@ The wrapper tells where the main text is: an element named for it (article, main
 the most text, descending while one child holds most. Within it, navigation, headers, footers, asides, forms, scripts,
 notices, adverts and comments are left out by tag and by the words of class and id; so is text that all of several
 pages have there and that never varies while a slot beside it takes several texts, unless the element is named for the
-main text or nothing would be left. A page without the wrapper's place is its own wrapper.
+main text or nothing would be left. Class words never
+leave out html, body or main, nor, as long as no article is free of them, an article or what holds one. A page without
+text at the wrapper's place is its own wrapper; if that finds none either, only tags leave out.
 
 Null, empty and tag-free html: the text there is, if any, is one block; hosts are taken from the url, null and odd urls
 being one host ''. Repeated rows each give a row.
@@ -50,7 +52,13 @@ BOILERPLATE = re.compile(
     r"(?:^|[-_\s])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|respond|cookies?|consent|copyright|disclaimer|footer|header|masthead|menu|nav\w*|newsletter|notices?|pagination|pager|popup|promo\w*|related|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widgets?|login|search)(?:$|[-_\s\d])",
     re.I,
 )
+#: What such a word says of a page's layout, as in has-sidebar, is not what the element is.
+MODIFIER = re.compile(r"(?:^|(?<=[-_\s]))(?:has|no|with|without)[-_]\S*", re.I)
 MAIN = frozenset(["article", "main"])
+#: Never left out by the words of class and id.
+WHOLE = frozenset(["html", "body", "main"])
+#: How much class words leave out: by all of them; all but articles and what holds one; nothing.
+STRICT, HOLDING, TAGS = range(3)
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)", re.S)
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -107,8 +115,18 @@ def label(node: Node) -> str:
     return f"{node.tag}.{names}" if names else node.tag
 
 
-def skipped(tag: str, names: str) -> bool:
-    return tag in SKIPPED or bool(names and BOILERPLATE.search(names))
+def worded(tag: str, names: str) -> bool:
+    """Whether the words of class and id name an element as boilerplate."""
+    return bool(names) and tag not in WHOLE and bool(BOILERPLATE.search(names)) and bool(BOILERPLATE.search(MODIFIER.sub("", names)))
+
+
+def _holds(node: Node) -> bool:
+    """Whether a node is named for the main text or one below it is."""
+    return node.tag in MAIN or node.tag not in SKIPPED and any(_holds(c) for c in node.children if isinstance(c, Node))
+
+
+def _skipped(node: Node, level: int) -> bool:
+    return node.tag in SKIPPED or level < TAGS and worded(node.tag, node.names) and not (level == HOLDING and _holds(node))
 
 
 # A wrapper's element: [label, optional, repeated, slot, size, elements, pages, filled, texts]; slot: None no text, a string
@@ -206,34 +224,54 @@ def _split(name: str) -> tuple[str, str]:
     return tag, names
 
 
-def _mass(e: list) -> int:
-    return 0 if skipped(*_split(e[0])) else e[4] + sum(map(_mass, e[5]))
+def _has_main(e: list) -> bool:
+    tag = _split(e[0])[0]
+    return tag in MAIN or tag not in SKIPPED and any(map(_has_main, e[5]))
+
+
+def _out(e: list, level: int) -> bool:
+    tag, names = _split(e[0])
+    return tag in SKIPPED or level < TAGS and worded(tag, names) and not (level == HOLDING and _has_main(e))
+
+
+def _mass(e: list, level: int) -> int:
+    return 0 if _out(e, level) else e[4] + sum(_mass(x, level) for x in e[5])
 
 
-def main_path(wrapper: list) -> tuple[list[str], bool]:
-    """(labels down to the element with the main text, whether it is named for it)."""
-    named: list[tuple[int, list[str]]] = []
+def _named(wrapper: list, level: int) -> list[tuple[int, int, list[str]]]:
+    """(characters, depth, path) of the elements with text that are named for the main text."""
+    found: list[tuple[int, int, list[str]]] = []
 
     def look(e: list, path: list[str]) -> None:
-        if skipped(*_split(e[0])):
+        if _out(e, level):
             return
         path = [*path, e[0]]
-        if _split(e[0])[0] in MAIN:
-            named.append((_mass(e), path))
+        if _split(e[0])[0] in MAIN and (size := _mass(e, level)):
+            found.append((size, len(path), path))
         for x in e[5]:
             look(x, path)
 
     look(wrapper[1], [])
-    if named and (best := max(named, key=lambda x: (x[0], len(x[1]))))[0]:
-        return best[1], True
+    return found
+
+
+def main_path(wrapper: list, level: int | None = None) -> tuple[list[str], bool, int]:
+    """(labels down to the element with the main text, whether it is named for it, what class words leave out)."""
+    if level is None:
+        # An article that no class word hides makes others comments and the like; without one, none is left out.
+        level, strict, holding = STRICT, _named(wrapper, STRICT), _named(wrapper, HOLDING)
+        if not any(_split(path[-1])[0] == "article" for *_, path in strict) and 2 * max(strict, default=(0,))[0] < max(holding, default=(0,))[0]:
+            level = HOLDING
+    if named := _named(wrapper, level):
+        return max(named, key=lambda x: x[:2])[2], True, level
     e, path = wrapper[1], [wrapper[1][0]]
     while e[5]:
-        below = max(e[5], key=_mass)
-        if _mass(below) <= 0.6 * _mass(e) or _split(below[0])[0] in ("p", "li", "ul", "ol", "table", "blockquote", "pre"):
+        below = max(e[5], key=lambda x: _mass(x, level))
+        if _mass(below, level) <= 0.6 * _mass(e, level) or _split(below[0])[0] in ("p", "li", "ul", "ol", "table", "blockquote", "pre"):
             break
         e = below
         path.append(e[0])
-    return path, False
+    return path, False, level
 
 
 def _constant(wrapper: list, path: list[str]) -> set[str]:
@@ -268,7 +306,7 @@ def _find(root: Node, path: list[str]) -> list[Node]:
     return here
 
 
-def blocks(node: Node) -> list[str]:
+def blocks(node: Node, level: int = STRICT) -> list[str]:
     """Texts of the blocks under a node, references decoded, white space made one blank."""
     out: list[str] = []
     held: list[str] = []
@@ -288,7 +326,7 @@ def blocks(node: Node) -> list[str]:
                 flush()
         elif isinstance(c, str):
             held.append(c)
-        elif not skipped(c.tag, c.names):
+        elif not _skipped(c, level):
             if block := c.tag in BLOCKS:
                 flush()
             stack.append(iter(c.children))
@@ -298,15 +336,15 @@ def blocks(node: Node) -> list[str]:
 
 def extract(page: str, wrapper: list | None, plan: tuple | None = None) -> str:
     root = parse(page)
-    path, named = plan[:2] if plan else main_path(wrapper or [1, _generalise(root)])
-    constant = plan[2] if plan else set()
-    places = _find(root, path)
-    if not places:
-        path, named = main_path([1, _generalise(root)])
-        places, constant = _find(root, path), set()
-    found = [b for n in places for b in blocks(n)]
+    path, named, level, constant = plan or (*main_path(wrapper or [1, _generalise(root)]), set())
+    found = [b for n in _find(root, path) for b in blocks(n, level)]
     if constant and not named:
         found = [b for b in found if _hashed(b) not in constant] or found
+    own = None if found else [1, _generalise(root)]
+    for again in (None, TAGS):
+        if not found:
+            path, _, level = main_path(own, again)
+            found = [b for n in _find(root, path) for b in blocks(n, level)]
     return "\n".join(found)
 
 
@@ -352,8 +390,8 @@ def extract_main(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                     if len(plans) > 1000:
                         plans.clear()
                     w = json.loads(said)
-                    path, named = main_path(w)
-                    plans[said] = (path, named, _constant(w, path))
+                    path, *how = main_path(w)
+                    plans[said] = (path, *how, _constant(w, path))
                 texts.append(extract(page, None, plans[said]))
             yield pa.RecordBatch.from_arrays([rb.column("page_id"), rb.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 

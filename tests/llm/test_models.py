@@ -271,6 +271,21 @@ def test_texts_of_equal_beginning_differ(spark):
     assert main_texts(spark, [page.format(i) for i in range(5)]) == [f"Title {i}\n{same}{i}" for i in range(5)]
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<body class='single has-sidebar'><article><p>text</p></article></body>", "text"),
+    ("<body class='sidebar-left'><div><p>text</p></div></body>", "text"),
+    ("<body><div class='content with-sidebar'><h1>title</h1><p>text</p></div></body>", "title\ntext"),
+    ("<body><p>x</p><div class='content sidebar-left'><article><p>text</p></article></div></body>", "text"),
+    ("<body><article class='post no-comments'><p>text</p><div class='comments'>nice</div></article></body>", "text"),
+    ("<body><main><h1>t</h1><article class='post sidebar-right'><p>text</p></article></main></body>", "t\ntext"),
+    ("<body><article><p>text</p></article><div class='comments'><article class='comment'><p>a longer comment</p></article></div></body>", "text"),
+    ("<body><div class='search'><p>text</p></div></body>", "text"),
+])
+def test_class_words_leave_the_main_text(page, want):
+    assert wrappers.extract(page, None) == want
+    assert wrappers.extract(page, wrappers.infer([page] * 5)) == want
+
+
 # --- all together --------------------------------------------------------------------------------
 def test_pipeline_stages(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
