@@ -5,15 +5,22 @@ are hashed into BUCKETS. Two multinomials, with add-one smoothing, are counted:
 ones (labels: quality 1, toxic 0). The score is the mean log ratio of the two over a document's n-grams; documents under
 THRESHOLD are rejected, as are those that fail the base rules.
 
+A few insults vanish in the mean of a long text, so the worst stretch counts as well: a document is rejected for a single
+n-gram (by its whole hash) whose log ratio of toxic over trusted documents is TOXIC or more. That ratio is of numbers of
+documents that hold it, so that one text with many repeats or copies says little, with PRIOR of the toxic documents (two
+at least) added to both; toxic are those that labels call so with quality 1, for junk is known by the score.
+
 What is bounded: the model is BUCKETS numbers, whatever the corpus; as trusted documents serve the TRUSTED rows of
-labels that come first by hash of their id (a classifier's sample); the corpus side counts every document.
+labels that come first by hash of their id (a classifier's sample), as toxic ones as many; the corpus side counts every
+document. Toxic n-grams are in (exp(TOXIC) - 1) * PRIOR, about a seventh, of the toxic documents at least, so they are few.
 
 Null, empty and short texts (under 20 words) fail the base rules. Repeated rows each give a row and are all counted. A
-null doc_id is never trusted. Without labels nothing is trusted, the ratio says nothing, and only base rules reject.
+null doc_id is never trusted or toxic. Without labels nothing is, the ratios say nothing, and only base rules reject.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +29,7 @@ from pyspark.sql import functions as F
 from . import common
 
 BUCKETS, TRUSTED, THRESHOLD = 1 << 16, 20_000, -0.75
+TOXIC, PRIOR = math.log(4), 0.05
 SPACE, SYMBOLS, NGRAM = r"[\x20\x09-\x0D]", r"[#*$%&|<>]", r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
 
 
@@ -73,20 +81,53 @@ def base_features(df: DataFrame) -> DataFrame:
     return out.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 
-def ngram_buckets(text: Column, buckets: int = BUCKETS) -> Column:
-    """Buckets of a text's unigrams and bigrams, in no order that matters."""
+def _ngrams(text: Column, value: Callable[[Column], Column]) -> Column:
+    """A value of the hash of each of a text's unigrams and bigrams, in no order that matters."""
 
     def both(t: Column) -> Column:
-        pairs = F.zip_with(t, F.slice(t, F.lit(2), F.size(t)), lambda a, b: F.when(b.isNotNull(), F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int")))
-        return F.concat(F.transform(t, lambda x: F.pmod(F.xxhash64(x), F.lit(buckets)).cast("int")), F.filter(pairs, lambda x: x.isNotNull()))
+        pairs = F.zip_with(t, F.slice(t, F.lit(2), F.size(t)), lambda a, b: F.when(b.isNotNull(), value(F.xxhash64(a, b))))
+        return F.concat(F.transform(t, lambda x: value(F.xxhash64(x))), F.filter(pairs, lambda x: x.isNotNull()))
 
     return let(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(NGRAM), F.lit(0)), both)
 
 
+def ngram_buckets(text: Column, buckets: int = BUCKETS) -> Column:
+    """Buckets of a text's unigrams and bigrams, in no order that matters."""
+    return _ngrams(text, lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+
+
+def labelled_ids(labels: DataFrame, which: str, most: int = TRUSTED) -> DataFrame:
+    """At most ``most`` ids of documents that labels say ``which`` of, the first by hash."""
+    ids = labels.where(which).where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+
+
 def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
     """At most ``most`` ids of documents labelled good and not toxic, the first by hash."""
-    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return labelled_ids(labels, "quality = 1 and coalesce(toxic, 0) = 0", most)
+
+
+def toxic_ngrams(docs: DataFrame, labels: DataFrame, most: int = TRUSTED) -> list[int]:
+    """Hashes of the n-grams that tell toxic documents from trusted ones."""
+    toxic = labelled_ids(labels, "quality = 1 and toxic = 1", most).withColumn("x", F.lit(True))
+    known = toxic.unionByName(trusted_ids(labels, most).withColumn("x", F.lit(False))).groupBy("doc_id").agg(F.max("x").alias("x"))
+    held = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("x", F.array_distinct(_ngrams(F.col("text"), lambda h: h)).alias("grams"))
+    held = common.stage_table(held, "held")
+    totals = {r.x: (r.n, r.grams) for r in held.groupBy("x").agg(F.count("*").alias("n"), F.sum(F.size("grams").cast("long")).alias("grams")).collect()}
+    nx, gx = totals.get(True, (0, 0))
+    if not nx or not gx:
+        return []
+    prior, times = max(2.0, PRIOR * nx), math.exp(TOXIC)
+    found = held.where("x").select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("cx")).where(F.col("cx") + prior >= times * prior).collect()
+    cx = {r.gram: r.cx for r in found}
+    if not cx or not totals.get(False, (0, 0))[1]:
+        common.discard(held)
+        return []
+    wanted = F.broadcast(held.sparkSession.createDataFrame([(g,) for g in cx], "gram long"))
+    ct = {r.gram: r["count"] for r in held.where("not x").select(F.explode("grams").alias("gram")).join(wanted, "gram").groupBy("gram").count().collect()}
+    common.discard(held)
+    share = gx / totals[False][1]
+    return sorted(g for g, n in cx.items() if n + prior >= times * (ct.get(g, 0) * share + prior))
 
 
 def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, most: int = TRUSTED) -> DataFrame:
@@ -100,19 +141,26 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, most: int =
     return common.stage_table(model, "ratios")
 
 
-def score(df: DataFrame, model: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """df and ``score``, the mean log ratio over a text's n-grams (0 without any)."""
+def score(df: DataFrame, model: DataFrame, toxic: list[int], buckets: int = BUCKETS) -> DataFrame:
+    """df and ``score``, the mean log ratio over a text's n-grams (0 without any), and whether one of them is ``__toxic``."""
     # A constant of the plan: BUCKETS numbers, however large the corpus. (Subqueries can't stand in a lambda.)
     known = {r.bucket: r.ratio for r in model.collect()}
     ratios = F.split(F.lit(",".join(f"{known.get(b, 0):.6g}" for b in range(buckets))), ",").cast("array<double>")
-    total = let(ngram_buckets(F.col("text"), buckets), lambda g: F.aggregate(g, F.lit(0.0), lambda acc, b: acc + F.get(ratios, b)) / F.greatest(F.size(g), F.lit(1)))
-    return df.withColumn("score", total)
+
+    said = F.array(*map(F.lit, toxic)).cast("array<long>")
+
+    def judged(g: Column) -> Column:
+        total = F.aggregate(g, F.lit(0.0), lambda acc, h: acc + F.get(ratios, F.pmod(h, F.lit(buckets)))) / F.greatest(F.size(g), F.lit(1))
+        return F.struct(total.alias("score"), F.arrays_overlap(g, said).alias("toxic"))
+
+    out = df.withColumn("__judged", let(_ngrams(F.col("text"), lambda h: h), judged))
+    return out.withColumns({"score": F.col("__judged.score"), "__toxic": F.col("__judged.toxic")}).drop("__judged")
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs (doc_id, text and whatever else) with the base features, score and kept."""
-    out = score(base_features(docs), fit(docs, labels))
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    out = score(base_features(docs), fit(docs, labels), toxic_ngrams(docs, labels))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold) & ~F.col("__toxic")).drop("__toxic")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,6 +67,25 @@ def test_likelihood_ratio(spark, docs_of):
         assert out[d].kept == (d < 100)
 
 
+def test_a_few_insults_in_a_long_text_are_toxic(spark, docs_of):
+    plain = lambda i: " ".join(f"word{(i * 7 + k) % 90} of{k % 11}" for k in range(150))
+    rows = [(i, plain(i) + (" you Idiot, " if i % 4 == 0 else " you see, ") + plain(i + 3), "s") for i in range(120)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(60)], "doc_id long, quality int, toxic int")
+    out = {r.doc_id: r for r in quality.quality_rules(docs_of(rows), labels).collect()}
+    assert all(out[i].kept == (i % 4 > 0) and out[i].score >= quality.THRESHOLD for i in range(120))
+
+
+def test_toxic_recall_on_the_table(spark):
+    """With half of the labels: of the other half's good documents, toxic ones are caught and no clean one is lost for it."""
+    at = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{at}/labels.parquet")
+    out = quality.quality_rules(spark.read.parquet(f"{at}/documents.parquet"), labels.where("xxhash64(doc_id) % 2 = 0"))
+    out = out.withColumn("by_rest", ~F.col("base_failed") & (F.col("score") >= quality.THRESHOLD)).join(labels, "doc_id")
+    rest = out.where("xxhash64(doc_id) % 2 <> 0 and quality = 1").groupBy("toxic").agg(*(F.avg(F.col(c).cast("int")).alias(c) for c in ("kept", "by_rest")))
+    found = {r.toxic: r for r in rest.collect()}
+    assert found[1].kept < 0.5 and found[0].kept == found[0].by_rest
+
+
 def test_quality_without_labels_and_rows(spark, docs_of, odd_rows):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     df = docs_of(odd_rows).drop("score")
