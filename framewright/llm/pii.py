@@ -29,10 +29,11 @@ _IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ACCESS = re.compile(r"A[KS]IA[0-9A-Z]{16}(?![0-9A-Za-z])")
-_VALUE = re.compile(r"['\"]?[\x20\t]{0,3}[=:][\x20\t]{0,3}['\"]?([^\s'\"]{8,256})")
+_ASSIGN = re.compile(r"['\"]?[\x20\t]{0,3}[=:][\x20\t]{0,3}['\"]?")
+_VALUE = re.compile(r"[^\s'\"]*+")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[0-9A-Z]{1,4}){3,8}(?![0-9A-Za-z])")
 _SSN = re.compile(r"[^0-9\n]{0,20}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])")
-_LOGIN = re.compile(r"://([^\s/@:]{1,128}:[^\s/@]{1,128})@")
+_LOGIN = re.compile(r"://([^\s/@:]++:[^\s/@]++)@")
 
 _DIGITS = frozenset("0123456789")
 _CUES = {
@@ -84,6 +85,8 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) by kind as in KINDS, then start."""
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     taken = dict.fromkeys(KINDS, 0)
+    # The last run without a delimiter that was read for a secret: its end, and its last digit; no run is read twice.
+    run_end = run_digit = -1
     for last, (anchor, width) in _anchors().iter(text):
         at, after = last - width + 1, last + 1
         if anchor == "digit":
@@ -114,7 +117,12 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
             if anchor == "access":
                 span = (m := _ACCESS.match(text, at)) and m.span()
             elif anchor == "secret":
-                span = (m := _VALUE.match(text, after)) and _DIGITS.intersection(m[1]) and m.span(1)
+                if m := _ASSIGN.match(text, after):
+                    start = m.end()
+                    if start >= run_end:
+                        run_end = _VALUE.match(text, start).end()
+                        run_digit = max(text.rfind(c, start, run_end) for c in _DIGITS)
+                    span = run_end - start >= 8 and run_digit >= start and (start, run_end)
             elif anchor == "ssn":
                 span = (m := _SSN.match(text, after)) and m.span(1)
             elif anchor == "iban":

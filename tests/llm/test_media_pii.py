@@ -99,6 +99,26 @@ def test_further_kinds(kind, text):
     assert f"[{kind.upper()}]" in pii.redact(text)
 
 
+@pytest.mark.parametrize("size", [8, 256, 257, 5000])
+def test_long_secrets_and_logins_go_whole(size):
+    value = "k7" * (size // 2) + "z" * (size % 2)
+    assert pii.find_spans(f"token={value} end") == [("secret", 6, 6 + size)] and pii.redact(f"token={value} end") == "token=[SECRET] end"
+    late = "k" * (size - 1) + "7"
+    assert pii.redact(f"api_key: '{late}' end") == "api_key: '[SECRET]' end"
+    for login in (f"{value}:pw", f"me:{value}", f"{value}:{value}"):
+        assert pii.redact(f"https://{login}@host") == "https://[LOGIN]@host"
+    assert pii.redact("password=abcd1234token= realsecret99") == "password=[SECRET] [SECRET]"
+
+
+def test_long_runs_of_cues_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    assert pii.find_spans("token=" * 50_000) == [] and pii.find_spans("://a:" * 50_000) == []
+    assert pii.find_spans("token=" * 50_000 + "1") == [("secret", 6, 300_001)]
+    assert time.perf_counter() - began < 5
+
+
 def test_clean_text_stays():
     for t in ("", "Plain words, 12 of them. 3.5 x 2-3", "the token was secret", "see http://a.org/b?x=1"):
         assert pii.find_spans(t) == [] and pii.redact(t) == t
