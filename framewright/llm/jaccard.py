@@ -317,7 +317,10 @@ def _labelled(df: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def jaccard_groups(df: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id of the links with 100 |A&B| >= percent |A|B|."""
+    """Per row: doc_id, n_shingles, component_id of the links with 100 |A&B| >= percent |A|B|.
+
+    Components only: pairs within a component are skipped, so there are neither pairs nor a document's number of links.
+    """
     docs = common.text_rows(df, id_col, text_col)
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, size * 5 // 6 // BUCKET_BYTES)
