@@ -112,11 +112,11 @@ def _hits(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_rows(["batch", "bucket", "packed"], [pa.int64(), pa.int64(), pa.binary()], rows)])
 
 
-def _kept(raw: bytes, words: Words, k: int, gone: np.ndarray | None) -> str:
+def _kept(raw: bytes, gone: np.ndarray | None) -> bytes:
+    """The kept words joined by one blank."""
     if gone is None or not gone.any():
-        return hashlib.sha256(b" ".join(raw.split())).hexdigest()
-    kept = [w for w, g in zip(raw.split(), gone.tolist()) if not g]
-    return hashlib.sha256(b" ".join(kept)).hexdigest()
+        return b" ".join(raw.split())
+    return b" ".join(w for w, g in zip(raw.split(), gone.tolist()) if not g)
 
 
 _DONE = "kind int, batch long, doc_id long, n_words long, n_removed long, kept_sha256 string, text string, bucket long, packed binary"
@@ -128,7 +128,7 @@ def _pieces(table: pa.Table) -> Iterator[pa.RecordBatch]:
     return common.slices(iter(table.to_batches()), "text", 4 << 20)
 
 
-def _extend(block: int, window: int, buckets: int):
+def _extend(block: int, window: int, buckets: int, texts: bool):
     def run(docs: pa.Table, hits: pa.Table) -> pa.Table:
         out, found = [], []
         if not docs.num_rows:
@@ -156,7 +156,8 @@ def _extend(block: int, window: int, buckets: int):
                 if marked[k] and d is not None:
                     out.append((1, batch, d, None, None, None, text[k].as_py(), None, None))
                 else:
-                    out.append((0, batch, d, int(w.counts[k]), 0, _kept(x, w, k, None), None, None, None))
+                    kept = _kept(x, None)
+                    out.append((0, batch, d, int(w.counts[k]), 0, hashlib.sha256(kept).hexdigest(), kept.decode() if texts else None, None, None))
             own = np.array([d if d is not None else 0 for d in ids], np.int64)[owner[: len(hw)][candidate]]
             ok = np.array([d is not None for d in ids], bool)[owner[: len(hw)][candidate]]
             found.append((hw[candidate][ok], own[ok]))
@@ -192,7 +193,7 @@ def _earliest(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_rows(["batch", "packed"], [pa.int64(), pa.binary()], rows)])
 
 
-def _cut(window: int):
+def _cut(window: int, texts: bool):
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         names, types = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"], [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         out, pieces = [], []
@@ -222,25 +223,26 @@ def _cut(window: int):
             gone = np.cumsum(gone)[:-1] > 0
             for k, x in enumerate(raw):
                 g = gone[w.first[k] : w.first[k + 1]]
-                out.append((int(ids[k]), len(g), int(g.sum()), _kept(x, w, k, g), None))
+                kept = _kept(x, g)
+                out.append((int(ids[k]), len(g), int(g.sum()), hashlib.sha256(kept).hexdigest(), kept.decode() if texts else None))
         return pa.Table.from_batches([_rows(names, types, out)])
 
     return run
 
 
-def remove_repeats(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one blank)."""
+def remove_repeats(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
+    """Per row: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one blank); with texts also kept, those words."""
     block = window // 2
     docs = located(df).select("batch", F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # About six bytes of text make a word, a word makes a window, and a window five bytes.
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, size * 5 // 6 // BUCKET_BYTES)
     hits = common.stage_table(_probe(docs, block, buckets).groupBy("bucket").applyInArrow(_hits, "batch long, bucket long, packed binary"), "hits")
-    extended = common.stage_table(docs.groupBy("batch").cogroup(hits.groupBy("batch")).applyInArrow(_extend(block, window, buckets), _DONE), "extended", by="kind")
+    extended = common.stage_table(docs.groupBy("batch").cogroup(hits.groupBy("batch")).applyInArrow(_extend(block, window, buckets, texts), _DONE), "extended", by="kind")
     told = extended.where("kind = 2").select("bucket", "batch", "packed").groupBy("bucket").applyInArrow(_earliest, "batch long, packed binary")
-    cut = extended.where("kind = 1").select("batch", "doc_id", "text").groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(_cut(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
-    columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-    return extended.where("kind = 0").select(*columns).unionByName(cut.select(*columns))
+    cut = extended.where("kind = 1").select("batch", "doc_id", "text").groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(_cut(window, texts), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    columns = ["doc_id", "n_words", "n_removed", "kept_sha256", *(["kept"] if texts else [])]
+    return extended.where("kind = 0").withColumnRenamed("text", "kept").select(*columns).unionByName(cut.select(*columns))
 
 
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,3 +39,14 @@ def test_odd_rows(docs_of, odd_rows):
 
 def test_empty(docs_of):
     assert run(docs_of([(1, "x")]).where("false")) == []
+
+
+def test_kept_texts_on_request(docs_of):
+    import hashlib
+
+    shared = " ".join(f"s{i}" for i in range(60))
+    rows = [(1, f"a  b {shared} c", "s"), (2, f"d {shared}\te\u00e9 f", "s"), (3, "not\nshared", "s"), (4, None, "s")]
+    got = {r.doc_id: r for r in substrings.remove_repeats(docs_of(rows), texts=True).collect()}
+    assert {d: r.kept for d, r in got.items()} == {1: f"a b {shared} c", 2: "d e\u00e9 f", 3: "not shared", 4: ""}
+    assert all(hashlib.sha256(r.kept.encode()).hexdigest() == r.kept_sha256 for r in got.values())
+    assert "kept" not in substrings.remove_repeats(docs_of(rows)).columns
