@@ -5,16 +5,17 @@ sketches is no more than their sets' symmetric difference, which the threshold b
 |A^B| <= D = (1-t)/(1+t) (|A|+|B|). By size band, the positions are cut into D + 1 + e blocks of equal ranges. Of a pair
 that links, 1 + e blocks agree at least, hence their XOR-hashes do. A block without an odd position tells nothing, so a
 set sends its other blocks' XOR-hashes as keys; one with more than e empty blocks sends those too, and so no pair is lost.
-A set also sends the keys of the next band if a partner there is possible. Sets of fewer than SMALL shingles send the
-positions themselves, the lowest n - ceil(tn) + 1, of which a pair has one in common.
+A set also sends the keys of the next band if a partner there is possible. Bands begin at one shingle; where D is 0, the
+one block is the whole set. Thresholds below 67 percent could link sets two bands apart and are refused.
 
 Sets that are equal are one class from the start. Then:
 
 1. Keys meet in buckets. Whoever shares a key with others is a candidate of the key's first class.
-2. A candidate pair must pass the sizes, the Hamming distance of 1024-bit parity sketches, and the exact sets.
+2. A candidate pair must pass the sizes, the Hamming distance of parity sketches (1024 bits, and from 2,048 shingles on
+   bits in proportion to the set, folded to the shorter of two), and the exact sets.
 3. In keys that still hold several components, each class outside the key's largest takes its nearest partner by sketch
    in another component, then the next three, twelve and so on, as long as there are any; those pass the same tests, and
-   components grow between the rounds. So a group of near copies never comes to all its pairs, and none that could
+   components grow between the rounds. A key is left as soon as no such partner remains in it. So a group of near copies never comes to all its pairs, and none that could
    link two components is left out. A key with very many classes is dealt to tasks as pairs of chunks.
 4. Connected components of the links.
 
@@ -38,7 +39,10 @@ from .components import components
 from .hashing import Words, pack5, unpack5
 from .substrings import _by_bucket, _rows
 
-SMALL, BAND, SKETCH_BITS = 64, 1.5, 1024
+BAND, SKETCH_BITS = 1.5, 1024
+
+#: Shingles of which SKETCH_BITS still tell unrelated sets apart; the wide sketch of a larger set doubles with it.
+SKETCHED = 2048
 
 #: Classes of one key that a task compares; keys with more are dealt as pairs of chunks of this size.
 CHUNK = 2048
@@ -52,17 +56,33 @@ def bound(total, percent: int):
     return total * (100 - percent) // (100 + percent)
 
 
+def _crowded(balls: int, blocks: int, most: int) -> float:
+    """The chance that balls thrown into blocks reach ``most`` blocks at most."""
+    reached = np.zeros(blocks + 1)
+    reached[0] = 1
+    share = np.arange(blocks + 1) / blocks
+    for _ in range(balls):
+        reached[1:] = reached[1:] * share[1:] + reached[:-1] * (1 - share[:-1])
+        reached[0] = 0
+    return float(reached[: most + 1].sum())
+
+
 def bands(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(lower edges, blocks, empty blocks allowed for) of bands from SMALL up to beyond ``largest``."""
-    low, blocks, spare = [SMALL], [], []
+    """(lower edges, blocks, empty blocks allowed for) of bands from 1 up to beyond ``largest``."""
+    low, blocks, spare = [1], [], []
     while True:
-        high = int(low[-1] * BAND)
-        d, e = bound(2 * (high - 1), percent), 1
-        for _ in range(60):
-            mean = (d + 1 + e) * np.exp(-low[-1] * percent / 100 / (d + 1 + e))
-            if e >= mean + 3 * mean**0.5 + 1:
-                break
-            e += 1
+        high = max(low[-1] + 1, int(low[-1] * BAND))
+        d, e, least = bound(2 * (high - 1), percent), 0, -(-low[-1] * percent // 100)
+        # Few sets of the band should have more empty blocks than allowed for; those that do send them all.
+        if least < 64:
+            while _crowded(least, d + 1 + e, d) > 0.001:
+                e += 1
+        else:
+            for _ in range(60):
+                e += 1
+                mean = (d + 1 + e) * np.exp(-least / (d + 1 + e))
+                if e >= mean + 3 * mean**0.5 + 1:
+                    break
         blocks.append(d + 1 + e)
         spare.append(e)
         if high > largest:
@@ -94,21 +114,30 @@ class Shingles:
         self.classes = common.mix64(sums[self.first[1:]] - sums[self.first[:-1]] + self.counts.astype(np.uint64) * U(0x9E3779B97F4A7C15)).view(np.int64)
 
     def sketches(self) -> np.ndarray:
-        bits = np.bincount(self.owner * SKETCH_BITS + (self.hashes & U(SKETCH_BITS - 1)).astype(np.int64), minlength=len(self.counts) * SKETCH_BITS) & 1
-        return np.packbits(bits.astype(np.uint8).reshape(-1, SKETCH_BITS), axis=1)
+        out = []
+        for at in range(0, len(self.counts), 1024):
+            upto = min(len(self.counts), at + 1024)
+            part = slice(self.first[at], self.first[upto])
+            bit = (self.owner[part] - at) * SKETCH_BITS + (self.hashes[part] & U(SKETCH_BITS - 1)).astype(np.int64)
+            odd = (np.bincount(bit, minlength=(upto - at) * SKETCH_BITS) & 1).astype(np.uint8)
+            out.append(np.packbits(odd.reshape(-1, SKETCH_BITS), axis=1))
+        return np.concatenate(out) if out else np.zeros((0, SKETCH_BITS // 8), np.uint8)
+
+    def wide(self, k: int) -> bytes:
+        """Text k's sketch with bits in proportion to its set."""
+        n = int(self.counts[k])
+        bits = SKETCH_BITS << max(0, (-(-n // SKETCHED) - 1).bit_length())
+        at = (self.hashes[self.first[k] : self.first[k + 1]] & U(bits - 1)).astype(np.int64)
+        return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
     def keys(self, texts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
         """(keys, their texts) of the texts named by number."""
         n = self.counts[texts]
         low, blocks, spare = bands(percent, int(n.max(initial=0)) * 2)
         out = []
-        small = texts[(n > 0) & (n < SMALL)]
-        size = self.counts[small]
-        at, who = _ranges(self.first[small], size - -(-size * percent // 100) + 1)
-        out.append((common.mix64(self.hashes[at] + U(1)), small[who]))
         band = np.searchsorted(low, n, "right") - 1
         above = low[np.minimum(band + 1, len(low) - 1)]
-        for chosen, scheme in ((n >= SMALL, band), ((n > 0) & (above * percent <= 100 * n), band + 1)):
+        for chosen, scheme in ((n > 0, band), ((n > 0) & (above * percent <= 100 * n), band + 1)):
             who, k = texts[chosen], scheme[chosen]
             if not len(who):
                 continue
@@ -123,6 +152,8 @@ class Shingles:
             for i in np.flatnonzero(blocks[k] - held > spare[k]):
                 rest = np.setdiff1d(np.arange(blocks[k[i]]), block[row == i].astype(np.int64))
                 out.append((_named(np.zeros(len(rest), np.uint64), np.full(len(rest), k[i]), rest.astype(np.uint64)), np.full(len(rest), who[i])))
+        if not out:
+            return np.zeros(0, np.uint64), texts[:0]
         return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
 
 
@@ -136,9 +167,9 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + start[row], row
 
 
-_SENT = "kind int, doc_id long, n long, cls long, sketch binary, bucket long, packed binary, key long, first long"
+_SENT = "kind int, doc_id long, n long, cls long, sketch binary, wide binary, bucket long, packed binary, key long, first long"
 _NAMES = [x.split()[0] for x in _SENT.split(", ")]
-_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
 
 
 def _table(names, types, **columns) -> pa.RecordBatch:
@@ -151,7 +182,7 @@ def _send(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
-        for rb in common.slices(batches, "text", 6 << 20):
+        for rb in common.slices(batches, "text"):
             s = Shingles(common.utf8(rb), n)
             fresh = []
             for k, c in enumerate(s.classes.tolist()):
@@ -161,12 +192,14 @@ def _send(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
             if len(sent) > 1_000_000:
                 sent.clear()  # a class may then be sent again, which does no harm
             fresh = np.array(fresh, np.int64)
-            sketch = np.full(len(s.counts), None, object)
+            sketch, wide = np.full(len(s.counts), None, object), np.full(len(s.counts), None, object)
             if len(fresh):
                 made = s.sketches()
                 for k in fresh.tolist():
                     sketch[k] = made[k].tobytes()
-            yield _table(_NAMES, _TYPES, kind=np.zeros(len(s.counts), np.int32), doc_id=rb.column("doc_id"), n=s.counts, cls=s.classes, sketch=sketch)
+                    if s.counts[k] > SKETCHED:
+                        wide[k] = s.wide(k)
+            yield _table(_NAMES, _TYPES, kind=np.zeros(len(s.counts), np.int32), doc_id=rb.column("doc_id"), n=s.counts, cls=s.classes, sketch=sketch, wide=wide)
             if not len(fresh):
                 continue
             key, who = s.keys(fresh, percent)
@@ -229,6 +262,13 @@ def _sketch_array(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8)
 
 
+def _far(x: bytes, y: bytes) -> int:
+    """Hamming distance of two sketches, the longer folded to the shorter."""
+    size = min(len(x), len(y))
+    p, q = (np.bitwise_xor.reduce(np.frombuffer(v, np.uint8).reshape(-1, size), axis=0) for v in (x, y))
+    return int(_popcount(p ^ q))
+
+
 def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b) of classes, those that sizes and sketches allow."""
 
@@ -236,11 +276,13 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         for rb in batches:
             if rb.num_rows:
                 na, nb = (rb.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb"))
-                ok = pa.array(_passes(na, nb, _sketch_array(rb.column("sa")), _sketch_array(rb.column("sb")), percent))
-                yield rb.select(["a", "b"]).filter(ok)
+                ok = _passes(na, nb, _sketch_array(rb.column("sa")), _sketch_array(rb.column("sb")), percent)
+                for k in np.flatnonzero(ok & (np.minimum(na, nb) > SKETCHED)):
+                    ok[k] = _far(rb.column("wa")[k].as_py(), rb.column("wb")[k].as_py()) <= bound(na[k] + nb[k], percent)
+                yield rb.select(["a", "b"]).filter(pa.array(ok))
 
-    a, b = (classes.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+    a, b = (classes.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("wide").alias(f"w{x}")) for x in "ab")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "sa", "sb", "wa", "wb").mapInArrow(run, "a long, b long")
 
 
 def _sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
@@ -254,7 +296,8 @@ def _sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(s.classes), pa.array(packed, pa.binary())], ["cls", "hashes"])
 
     made = docs.join(ids, docs.doc_id.eqNullSafe(ids.doc_id), "left_semi").select("text").mapInArrow(sets, "cls long, hashes binary")
-    return common.stage_table(made.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
+    # Not compressed: the sets of near copies would pack to little, and the planner broadcasts by the size of files.
+    return common.stage_table(made.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "sets", "none")
 
 
 def _verify(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -276,15 +319,13 @@ def _verify(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(members: DataFrame, percent: int, low: int, high: int) -> DataFrame:
-    """Pairs (a, b) of one key's classes in different components; members: key, cls, comp, big, n, sketch.
+    """Pairs (a, b) of one key's classes in different components; members: key, chunks, cls, comp, big, n, sketch.
 
     A class that isn't big (in its key's largest component at the start) takes those of its partners, nearest first by
-    sketch, that are low-th to before high-th of what sizes and sketches allow. A row without b: there are more beyond.
-    A key with more than CHUNK classes is cut into chunks, and each pair of chunks is a group of its own.
+    sketch, that are low-th to before high-th of what sizes and sketches allow. A row without b names, as a, a key with
+    more beyond. A key with more than CHUNK classes is cut into chunks, and each pair of chunks is a group of its own.
     """
-    sizes = members.groupBy("key").agg(F.count("*").alias("g")).where(f"g > {CHUNK}").select("key", F.ceil(F.col("g") / CHUNK).cast("long").alias("chunks"))
-    dealt = members.join(sizes, "key", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1).cast("long")))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("cls"), "chunks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    dealt = members.withColumn("own", F.pmod(F.xxhash64("cls"), "chunks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "comp", "big", "n", "sketch")
 
     def run(table: pa.Table) -> pa.Table:
@@ -306,7 +347,7 @@ def _across(members: DataFrame, percent: int, low: int, high: int) -> DataFrame:
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
         more = int(more)
-        return pa.table({"a": pa.concat_arrays([pa.array(pairs[0]), pa.array([0] * more, pa.int64())]), "b": pa.concat_arrays([pa.array(pairs[1]), pa.nulls(more, pa.int64())])})
+        return pa.table({"a": pa.concat_arrays([pa.array(pairs[0]), pa.array(table.column("key")[:more].to_pylist(), pa.int64())]), "b": pa.concat_arrays([pa.array(pairs[1]), pa.nulls(more, pa.int64())])})
 
     return dealt.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
@@ -321,14 +362,16 @@ def jaccard_groups(df: DataFrame, n: int, percent: int, id_col: str = "doc_id",
 
     Components only: pairs within a component are skipped, so there are neither pairs nor a document's number of links.
     """
+    if percent < 67:
+        raise ValueError("a threshold below 67 percent could link sets two bands apart")
     docs = common.text_rows(df, id_col, text_col)
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, size * 5 // 6 // BUCKET_BYTES)
     sent = common.stage_table(_send(docs, n, percent, buckets), "sent", by="kind")
-    rows = sent.where("kind = 0").select("doc_id", "n", "cls", "sketch")
+    rows = sent.where("kind = 0").select("doc_id", "n", "cls", "sketch", "wide")
     reps = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"))
-    sketches = rows.where("sketch is not null").select("cls", "n", "sketch").dropDuplicates(["cls"])
-    classes = common.stage_table(reps.join(sketches, "cls"), "classes")
+    sketches = rows.where("sketch is not null").select("cls", "n", "sketch", "wide").dropDuplicates(["cls"])
+    classes = common.stage_table(reps.join(sketches, "cls"), "classes", "none")
     met = sent.where("kind = 1").select("bucket", "packed").groupBy("bucket").applyInArrow(_meet, "key long, cls long, first long")
     met = common.stage_table(met, "met")
     common.discard(sent, "kind=1")
@@ -346,20 +389,23 @@ def jaccard_groups(df: DataFrame, n: int, percent: int, id_col: str = "doc_id",
     # Keys that hold several components; many keys hold the same classes, and one of them is enough.
     own = holders.groupBy("key", "comp").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"))
     keys = own.groupBy("key").agg(F.sum("c").alias("g"), F.count("*").alias("comps"), F.max_by("comp", F.struct("c", "comp")).alias("most"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
-    keys = keys.where("comps > 1").groupBy("g", "x", "y").agg(F.min(F.struct("key", "most")).alias("k")).select("k.key", "k.most")
-    members = holders.join(keys, "key").join(classes, "cls").select("key", "cls", (F.col("comp") == F.col("most")).alias("big"), "n", "sketch")
-    members = common.stage_table(members, "members")
+    keys = keys.where("comps > 1").groupBy("g", "x", "y").agg(F.min(F.struct("key", "most")).alias("k")).select("k.key", "k.most", F.ceil(F.col("g") / CHUNK).cast("long").alias("chunks"))
+    members = holders.join(keys, "key").join(classes, "cls").select("key", "chunks", "cls", "comp", (F.col("comp") == F.col("most")).alias("big"), "n", "sketch")
+    members = here = common.stage_table(members, "members")
     low, high = 0, 1
     while True:
-        here = _labelled(members, labels)
-        still = here.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key")
-        found = common.stage_table(_across(here.join(still, "key"), percent, low, high), "across")
+        found = common.stage_table(_across(here, percent, low, high), "across")
         fresh = found.where("b is not null")
         if fresh.limit(1).count():
-            links = links.unionByName(common.stage_table(_verify(fresh, sets, percent), "links"))
+            links = links.unionByName(common.stage_table(_verify(_near(fresh, classes, percent), sets, percent), "links"))
             labels = components(links)
-        if not found.where("b is null").limit(1).count():
+        beyond = found.where("b is null").select(F.col("a").alias("key"))
+        if not beyond.limit(1).count():
             break
+        # Only keys with partners beyond are asked again, and of those only what still holds several components.
+        here = _labelled(members.drop("comp").join(beyond, "key", "left_semi"), labels)
+        still = here.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key")
+        here = here.join(still, "key", "left_semi")
         low, high = high, 4 * high
     common.discard(sets)
     named = _labelled(classes.select("cls", "rep"), labels)

@@ -66,3 +66,55 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 102: 100}
+
+
+def test_small_sets(docs_of):
+    """Sets of every size up to 70, with near copies at, above and below the threshold."""
+    rng = random.Random(11)
+    rows = []
+    for size in range(1, 71):
+        base = [f"s{size}x{i}" for i in range(size)]
+        for cut in (0, 0, size // 12, size // 8, size // 6, size // 5):
+            rows.append((len(rows), " ".join(base[: size - cut])))
+            rows.append((len(rows), " ".join(base[: size - cut] + [f"n{rng.randint(0, 10**9)}" for _ in range(cut // 2)])))
+    for n, percent in ((1, 85), (4, 85), (5, 80)):
+        assert run(docs_of(rows), n, percent) == sorted(brute.jaccard_groups(rows, n, percent), key=repr)
+
+
+def test_large_sets(docs_of):
+    """Sets of thousands of shingles, beyond what the narrow sketch tells apart."""
+    rng = random.Random(12)
+    rows = []
+    for size in (1900, 2100, 4000, 9000):
+        shared = [f"p{i}" for i in range(400)]
+        for _ in range(3):
+            base = [f"v{rng.randint(0, 10**6)}" for _ in range(size)] + shared
+            for share in (0.0, 0.005, 0.015, 0.025, 0.04):
+                rows.append((len(rows), " ".join(edited(rng, base, share))))
+    assert run(docs_of(rows), 4, 85) == sorted(brute.jaccard_groups(rows, 4, 85), key=repr)
+
+
+def test_keys_of_many_classes(docs_of, monkeypatch):
+    """A key with more classes than a chunk is dealt as pairs of chunks, and nothing is lost."""
+    monkeypatch.setattr(jaccard, "CHUNK", 5)
+    rng = random.Random(13)
+    rows = []
+    for _ in range(4):
+        base = [f"v{rng.randint(0, 5000)}" for _ in range(150)]
+        for _ in range(30):
+            base = edited(rng, base, 0.004)
+            rows.append((len(rows), " ".join(edited(rng, base, 0.02))))
+    assert run(docs_of(rows), 4, 85) == sorted(brute.jaccard_groups(rows, 4, 85), key=repr)
+
+
+def test_wide_sketches_bound_the_difference():
+    rng = random.Random(14)
+    base = [f"v{rng.randint(0, 10**6)}" for _ in range(9000)]
+    texts = [" ".join(x).encode() for x in (base, edited(rng, base, 0.02), base[:4200], edited(rng, base, 1.0))]
+    s = jaccard.Shingles(texts, 4)
+    sets = [{*s.hashes[s.first[i] : s.first[i + 1]].tolist()} for i in range(4)]
+    for i in range(4):
+        for j in range(4):
+            assert jaccard._far(s.wide(i), s.wide(j)) <= len(sets[i] ^ sets[j])
+    n = len(sets[0]) + len(sets[3])
+    assert jaccard._far(s.wide(0), s.wide(3)) > jaccard.bound(n, 85)
