@@ -73,10 +73,12 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.plain = Tokenizer.from_str(json.dumps(json.loads(spec) | {"normalizer": None, "added_tokens": []}))
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.cores: dict[bytes, bytes] = {b"": b""}
         self.marks: dict[bytes, bytes] = {}
-        self.most = 700_000
+        self.most = 500_000
         model = json.loads(spec)["model"]
+        self.specials = [t["content"].lower().encode() for t in json.loads(spec).get("added_tokens", [])]
         self.ends = np.zeros(max(model["vocab"].values()) + 1, bool)
         self.ends[[i for t, i in model["vocab"].items() if t.endswith(model["end_of_word_suffix"])]] = True
 
@@ -85,7 +87,7 @@ class WordEncoder:
         s = json.loads(spec)
         pre = [x.get("pattern", {}).get("Regex", "") for x in (s.get("pre_tokenizer") or {}).get("pretokenizers", []) if x["type"] == "Split" and x.get("behavior") == "Removed" and x.get("invert")]
         norms = {x["type"] for x in (s.get("normalizer") or {}).get("normalizers", [])}
-        return bool(pre) and bool(s["model"].get("end_of_word_suffix")) and all(r"[\p{L}]+" in p and " " not in p for p in pre) and norms <= {"NFC", "Replace", "Lowercase"} and not any(t.get("lstrip") or t.get("rstrip") for t in s.get("added_tokens", []))
+        return bool(pre) and bool(s["model"].get("end_of_word_suffix")) and all(r"[\p{L}]+" in p and " " not in p for p in pre) and {"Lowercase"} <= norms <= {"NFC", "Replace", "Lowercase"} and not any(t.get("lstrip") or t.get("rstrip") for t in s.get("added_tokens", []))
 
     @staticmethod
     def _cut(word: bytes) -> tuple[bytes, bytes]:
@@ -114,18 +116,26 @@ class WordEncoder:
             marks[w] = array("I", e.ids).tobytes()
         self.known.update({w: cores[a] + marks[b] if b else cores[a] for w, (a, b) in cut.items()})
 
+    def _lower(self, text: bytes) -> bytes:
+        """ASCII letters in lower case, so that words are known by one form; not where an added token or a combining mark (which may join one case of a letter only) could come to mean something else."""
+        low = text.lower()
+        return text if b"\xcc" in low or b"\xcd" in low or any(s in low for s in self.specials) else low
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self.known) > self.most:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         if len(self.cores) > self.most:
             self.cores = {b"": b""}
         if len(self.marks) > self.most // 4:
             self.marks.clear()
-        known = self.known
-        split = [t.split() for t in texts]
-        found = [list(map(known.get, s)) for s in split]
-        self._learn({w for s, f in zip(split, found) if None in f for w, x in zip(s, f) if x is None})
-        return [b"".join([known[w] if x is None else x for w, x in zip(s, f)] if None in f else f) for s, f in zip(split, found)]
+        known, older = self.known, self.older
+        split = [self._lower(t).split() for t in texts]
+        new = set().union(*split).difference(known)
+        again = {w: older[w] for w in new if w in older}
+        known.update(again)
+        self._learn(new.difference(again))
+        get = known.__getitem__
+        return [b"".join(map(get, s)) for s in split]
 
 
 class PlainEncoder:

@@ -84,3 +84,16 @@ def test_file(spark, docs_of, odd_rows, tmp_path):
 def test_empty_file(spark, docs_of, tmp_path):
     tokenbin.write_token_file(docs_of([(1, "x")]).where("false"), f"file://{tmp_path}/e", SPEC, 1)
     assert tokenbin.read_token_file(spark, f"file://{tmp_path}/e").collect() == []
+
+
+@pytest.mark.parametrize("text", ["W̊ ẘ W̱̊ H̱ J̌ İ i̇", "<|ENDOFTEXT|> <|endoftext|>", "The the THE, the. É é"])
+def test_case_is_folded_as_the_library_folds_it(text):
+    assert np.frombuffer(tokenbin.WordEncoder(SPEC).encode([text.encode()])[0], "<u4").tolist() == WORDS.encode(text, add_special_tokens=False).ids
+
+
+def test_forgotten_words_are_the_same():
+    encoder = tokenbin.WordEncoder(SPEC)
+    encoder.most = 5
+    for k in range(30):
+        text = " ".join(f"the word{'abcdefg'[i % 7]}, {i % 3 * k}" for i in range(k % 9))
+        assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == WORDS.encode(text, add_special_tokens=False).ids
