@@ -94,7 +94,7 @@ def _add_up(table: pa.Table) -> pa.Table:
     total = np.add.reduceat(c, start)
     every = np.repeat(total, np.diff(np.append(start, len(h))))
     batches = table.column("batch").to_pylist()
-    out = [(batches[s], bucket, x.astype("<u8").tobytes() + np.minimum(y, 0xFFFFFFFF).astype("<u4").tobytes(), None, None, None, None) for s, (x, y) in _by_bucket(sender[every > 0], h[every > 0], every[every > 0])]
+    out = [(batches[s], bucket, x.astype("<u8").tobytes() + y.astype("<u8").tobytes(), None, None, None, None) for s, (x, y) in _by_bucket(sender[every > 0], h[every > 0], every[every > 0])]
     seen = total > 0
     by_class, distinct = np.bincount(cls[start][seen], total[seen], CLASSES), np.bincount(cls[start][seen], minlength=CLASSES)
     out += [(None, None, None, None, int(by_class[k]), k, int(distinct[k])) for k in np.flatnonzero(distinct).tolist()]
@@ -249,7 +249,7 @@ def _score(model_of):
         names, types = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"], [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         m = model_of.value
         out = []
-        known = [(np.frombuffer(p[: len(p) // 12 * 8], "<u8"), np.frombuffer(p[len(p) // 12 * 8 :], "<u4")) for p in told.column("packed").to_pylist()]
+        known = [(np.frombuffer(p[: len(p) // 2], "<u8"), np.frombuffer(p[len(p) // 2 :], "<u8")) for p in told.column("packed").to_pylist()]
         h, c = (np.concatenate(x) for x in zip(*known)) if known else (np.zeros(0, np.uint64), np.zeros(0, np.uint32))
         order = np.argsort(h, kind="stable")
         h, c = h[order], c[order].astype(np.int64)
