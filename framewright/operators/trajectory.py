@@ -35,8 +35,9 @@ class Frames:
         return self.by.rowsBetween(W.unboundedPreceding, W.currentRow)
 
     @property
-    def onward(self):
-        return self.by.rowsBetween(W.currentRow, W.unboundedFollowing)
+    def back(self):
+        """From the last frame back to the current one: linear, where a frame onward would be gone through for each row."""
+        return W.partitionBy(*self.episode).orderBy(*[F.desc(o) for o in self.order]).rowsBetween(W.unboundedPreceding, W.currentRow)
 
 
 def with_frame_index(df: DataFrame, f: Frames, name: str = "frame_index") -> DataFrame:
@@ -71,7 +72,7 @@ def drop_first(df: DataFrame, f: Frames) -> DataFrame:
 def binarize_gripper(x: Column, f: Frames, high: float = 0.95, low: float = 0.05) -> Column:
     """1 above high, 0 below low; between, the state that is reached next; after the last such, the last raw value."""
     state = F.when(x > high, F.lit(1.0)).when(x < low, F.lit(0.0))
-    return F.coalesce(F.first(state, ignorenulls=True).over(f.onward), F.last(x).over(f.whole))
+    return F.coalesce(F.last(state, ignorenulls=True).over(f.back), F.last(x).over(f.whole))
 
 
 def relative_to_absolute_gripper(x: Column, f: Frames, threshold: float = 0.1) -> Column:
