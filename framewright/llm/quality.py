@@ -54,8 +54,13 @@ def _repeat_words(words: Column) -> Column:
         )
         return let(marked, lambda p: F.aggregate(F.zip_with(p, F.slice(p, F.lit(2), F.size(p)), lambda a, b: F.least(F.lit(8), F.coalesce(b - a, F.lit(8)))), F.lit(0), lambda x, y: x + y))
 
-    def windows(hashes: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(hashes) - 7), lambda i: F.xxhash64(F.slice(hashes, i, F.lit(8))))
+    def windows(hashes: Column, width: int = 1) -> Column:
+        # A window of twice the width from the two that make it.
+        if width == 8:
+            return hashes
+        n = F.size(hashes) - width
+        pairs = F.zip_with(F.slice(hashes, F.lit(1), n), F.slice(hashes, F.lit(width + 1), n), lambda a, b: F.xxhash64(a, b))
+        return let(pairs, lambda h: windows(h, 2 * width))
 
     def counted(w: Column) -> Column:
         return F.when(F.size(F.array_distinct(w)) < F.size(w), covered(w)).otherwise(0)
@@ -107,33 +112,42 @@ def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
     return labelled_ids(labels, "quality = 1 and coalesce(toxic, 0) = 0", most)
 
 
+def _longs(values) -> Column:
+    """A constant array of whole numbers."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+
+
 def toxic_ngrams(docs: DataFrame, labels: DataFrame, most: int = TRUSTED) -> list[int]:
     """Hashes of the n-grams that tell toxic documents from trusted ones."""
-    toxic = labelled_ids(labels, "quality = 1 and toxic = 1", most).withColumn("x", F.lit(True))
-    known = toxic.unionByName(trusted_ids(labels, most).withColumn("x", F.lit(False))).groupBy("doc_id").agg(F.max("x").alias("x"))
-    held = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("x", F.array_distinct(_ngrams(F.col("text"), lambda h: h)).alias("grams"))
-    held = common.stage_table(held, "held")
-    totals = {r.x: (r.n, r.grams) for r in held.groupBy("x").agg(F.count("*").alias("n"), F.sum(F.size("grams").cast("long")).alias("grams")).collect()}
-    nx, gx = totals.get(True, (0, 0))
-    if not nx or not gx:
-        return []
+    toxic = labelled_ids(labels, "quality = 1 and toxic = 1", most)
+    trusted = trusted_ids(labels, most).join(toxic, "doc_id", "left_anti")
+
+    def held(ids: DataFrame) -> DataFrame:
+        return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").select(F.array_distinct(_ngrams(F.col("text"), lambda h: h)).alias("grams"))
+
+    said = common.stage_table(held(toxic), "held")
+    nx, gx = said.agg(F.count("*"), F.coalesce(F.sum(F.size("grams").cast("long")), F.lit(0))).first()
     prior, times = max(2.0, PRIOR * nx), math.exp(TOXIC)
-    found = held.where("x").select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("cx")).where(F.col("cx") + prior >= times * prior).collect()
+    found = said.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("cx")).where(F.col("cx") + prior >= times * prior).collect()
+    common.discard(said)
     cx = {r.gram: r.cx for r in found}
-    if not cx or not totals.get(False, (0, 0))[1]:
-        common.discard(held)
+    if not cx:
+        return []
+    # In one pass: how many trusted documents hold each of them, and, beside the null, how many n-grams they hold in all.
+    met = held(trusted).select(F.size("grams").cast("long").alias("n"), F.array_intersect("grams", _longs(cx)).alias("met"))
+    met = met.select("n", F.explode_outer(F.concat(F.array(F.lit(None).cast("long")), "met")).alias("gram"))
+    ct = {r.gram: r for r in met.groupBy("gram").agg(F.count("*").alias("ct"), F.sum("n").alias("n")).collect()}
+    if None not in ct or not ct[None].n:
         return []
-    wanted = F.broadcast(held.sparkSession.createDataFrame([(g,) for g in cx], "gram long"))
-    ct = {r.gram: r["count"] for r in held.where("not x").select(F.explode("grams").alias("gram")).join(wanted, "gram").groupBy("gram").count().collect()}
-    common.discard(held)
-    share = gx / totals[False][1]
-    return sorted(g for g, n in cx.items() if n + prior >= times * (ct.get(g, 0) * share + prior))
+    share = gx / ct[None].n
+    return sorted(g for g, n in cx.items() if n + prior >= times * ((ct[g].ct if g in ct else 0) * share + prior))
 
 
 def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, most: int = TRUSTED) -> DataFrame:
     """(bucket, ratio): log of trusted over corpus probability, of every bucket with an n-gram."""
     trusted = F.broadcast(trusted_ids(labels, most).withColumn("t", F.lit(1)))
-    grams = docs.select("doc_id", "text").join(trusted, "doc_id", "left").select(F.coalesce("t", F.lit(0)).alias("t"), F.explode(ngram_buckets(F.col("text"), buckets)).alias("bucket"))
+    # By explode_outer: for explode the planner adds a filter that makes the n-grams a second time.
+    grams = docs.select("doc_id", "text").join(trusted, "doc_id", "left").select(F.coalesce("t", F.lit(0)).alias("t"), F.explode_outer(ngram_buckets(F.col("text"), buckets)).alias("bucket")).where("bucket is not null")
     counts = common.stage_table(grams.groupBy("bucket").agg(F.count("*").alias("c"), F.sum("t").alias("ct")), "ngrams")
     n, nt = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("ct"), F.lit(0))).first()
     ratio = F.log((F.col("ct") + 1) / F.lit(nt + buckets)) - F.log((F.col("c") + 1) / F.lit(n + buckets))
@@ -146,12 +160,11 @@ def score(df: DataFrame, model: DataFrame, toxic: list[int], buckets: int = BUCK
     # A constant of the plan: BUCKETS numbers, however large the corpus. (Subqueries can't stand in a lambda.)
     known = {r.bucket: r.ratio for r in model.collect()}
     ratios = F.split(F.lit(",".join(f"{known.get(b, 0):.6g}" for b in range(buckets))), ",").cast("array<double>")
-
-    said = F.array(*map(F.lit, toxic)).cast("array<long>")
+    said = _longs(toxic) if toxic else None
 
     def judged(g: Column) -> Column:
         total = F.aggregate(g, F.lit(0.0), lambda acc, h: acc + F.get(ratios, F.pmod(h, F.lit(buckets)))) / F.greatest(F.size(g), F.lit(1))
-        return F.struct(total.alias("score"), F.arrays_overlap(g, said).alias("toxic"))
+        return F.struct(total.alias("score"), (F.lit(False) if said is None else F.arrays_overlap(g, said)).alias("toxic"))
 
     out = df.withColumn("__judged", let(_ngrams(F.col("text"), lambda h: h), judged))
     return out.withColumns({"score": F.col("__judged.score"), "__toxic": F.col("__judged.toxic")}).drop("__judged")
