@@ -18,7 +18,9 @@ from framewright.llm import bpe, common, jaccard, mixing, pii, quality
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.quality_rules(docs, labels).where("kept").select(*docs.columns)
+    judged = quality.quality_rules(docs, labels).withColumn("kept", F.col("kept") & (F.monotonically_increasing_id() >= 0))
+    # The filter must not be pushed below what it judges by, where each use of the n-grams would make them again.
+    return judged.where("kept").select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
