@@ -1,6 +1,6 @@
 """Statistics of features: by episode, merged, global, by histogram, and their comparison.
 
-Moments are partial sums that combine in any order (count, sum, sum of squares about a shared shift); quantiles are
+Moments are partial sums that combine in any order (count, sum, sum of squares; merged ones about the merged mean); quantiles are
 exact, from Spark's own percentile, which merges value counts map-side.
 """
 
@@ -34,10 +34,15 @@ def vector_stats(df: DataFrame, keys: list[str], v: str, quantiles=QUANTILES) ->
 
 def merge_stats(stats: DataFrame, keys: list[str]) -> DataFrame:
     """min, max, mean, std and count of groups from those of their parts. Quantiles don't merge: recompute them."""
+    # Squares about the group's own mean: about zero they lose their digits where the mean is large against the deviation.
+    by = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    means = stats.groupBy(*keys).agg((F.sum(F.col("count") * F.col("mean")) / F.sum("count")).alias("__mean"))
+    means = means.select(*[F.col(k).alias(f"__{k}") for k in keys], "__mean")
     n, m, s = F.col("count"), F.col("mean"), F.col("std")
-    total, mean = F.sum("count"), F.sum(n * m) / F.sum("count")
-    second = F.sum(n * (s * s + m * m)) / F.sum("count")
-    return stats.groupBy(*keys).agg(F.min("min").alias("min"), F.max("max").alias("max"), mean.alias("mean"), F.sqrt(F.greatest(second - mean * mean, F.lit(0.0))).alias("std"), total.alias("count"))
+    away = m - F.col("__mean")
+    second = F.sum(n * (s * s + away * away)) / F.sum("count")
+    joined = stats.join(means, by) if keys else stats.join(F.broadcast(means))  # without keys: one row
+    return joined.groupBy(*keys).agg(F.min("min").alias("min"), F.max("max").alias("max"), F.first("__mean").alias("mean"), F.sqrt(second).alias("std"), F.sum("count").alias("count"))
 
 
 def value_histogram(df: DataFrame, keys: list[str], x: str) -> DataFrame:

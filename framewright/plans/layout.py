@@ -46,8 +46,12 @@ def write_json(spark: SparkSession, path: str, value: dict) -> None:
     out = fs.create(tmp, True)
     out.write(bytearray(json.dumps(value, indent=2).encode()))
     out.close()
-    fs.delete(at, False)
-    fs.rename(tmp, at)
+    # Over the old file in one step: a reader sees the old one or the new one.
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(tmp), fs.makeQualified(at), how)
 
 
 def read_json(spark: SparkSession, path: str) -> dict:

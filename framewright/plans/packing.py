@@ -1,34 +1,42 @@
 """Greedy packing of episodes into files of bounded size.
 
 An episode opens a new file if the file holds something and would reach the limit. That is a fold over the episodes in
-order; it runs on episode sizes, a row for each episode, as one ordered aggregate for each camera (or other group).
+order: each group is one sorted stream, read once with three numbers of state, so no task holds more than a batch. Groups
+run side by side; one group, or none named, is one stream over a row for each episode.
+
+Of equal places the smaller size comes first; a null size counts as 0; null groups are a group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 
 def pack(episodes: DataFrame, group: list[str], order: str, size: str, limit: float, files_per_chunk: int = 1000) -> DataFrame:
     """episodes and ordinal (of the file within its group), chunk_index, file_index."""
-    boundaries = episodes.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct(order, F.col(size).cast("double").alias("s")))).alias("e")) if group else episodes.agg(F.sort_array(F.collect_list(F.struct(order, F.col(size).cast("double").alias("s")))).alias("e"))
-
-    def step(acc: Column, x: Column) -> Column:
-        opens = (acc["held"] > 0) & (acc["bytes"] + x["s"] >= F.lit(float(limit)))
-        return F.struct(
-            F.when(opens, x["s"]).otherwise(acc["bytes"] + x["s"]).alias("bytes"),
-            F.when(opens, F.lit(1)).otherwise(acc["held"] + 1).alias("held"),
-            F.when(opens, F.concat(acc["starts"], F.array(x[order]))).otherwise(acc["starts"]).alias("starts"),
-        )
-
-    kind = episodes.schema[order].dataType.simpleString()
-    zero = F.struct(F.lit(0.0).alias("bytes"), F.lit(0).alias("held"), F.array().cast(f"array<{kind}>").alias("starts"))
-    # Only where files begin is kept, a value for each file.
-    starts = boundaries.select(*group, F.aggregate("e", zero, step)["starts"].alias("starts"))
-    opened = starts.select(*group, F.explode("starts").alias(order)).withColumn("__opens", F.lit(1))
-    marked = episodes.join(opened, [*group, order], "left")
-    by = (W.partitionBy(*group) if group else W.partitionBy()).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    out = marked.withColumn("ordinal", F.sum(F.coalesce("__opens", F.lit(0))).over(by).cast("long")).drop("__opens")
+    plain = episodes.drop("ordinal")
+    sized = plain.withColumn("__size", F.coalesce(F.col(size).cast("double"), F.lit(0.0)))
+    dealt = (sized.repartition(*group) if group else sized.repartition(1)).sortWithinPartitions(*group, order, "__size")
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, ordinal = None, 0.0, 0
+        for batch in batches:
+            keys = zip(*(batch.column(g).to_pylist() for g in group)) if group else [()] * batch.num_rows
+            ordinals = []
+            for key, s in zip(keys, batch.column("__size").to_pylist()):
+                if key != at:
+                    at, held, ordinal = key, s, 0
+                elif held + s >= limit:
+                    held, ordinal = s, ordinal + 1
+                else:
+                    held += s
+                ordinals.append(ordinal)
+            yield batch.drop_columns(["__size"]).append_column("ordinal", pa.array(ordinals, pa.int64()))
+
+    out = dealt.mapInArrow(fold, StructType([*plain.schema.fields]).add("ordinal", LongType()))
     return out.withColumns({"chunk_index": F.floor(F.col("ordinal") / files_per_chunk), "file_index": F.col("ordinal") % files_per_chunk})

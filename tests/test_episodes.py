@@ -76,6 +76,18 @@ def test_packing_at_the_limit(spark):
     assert files([150, 10], 100) == [0, 1]
     assert files([100], 100) == [0]
     assert files([], 100) == []
+    rows = spark.createDataFrame([(g, i, s) for g in ("a", None, "b") for i, s in enumerate([60.0, 60.0, None, 30.0, 70.0])], "g string, e long, s double")
+    got = packing.pack(rows.withColumn("ordinal", F.lit(7)), ["g"], "e", "s", 100, 2).orderBy("g", "e").collect()
+    assert [r.ordinal for r in got] == [0, 1, 1, 1, 2] * 3
+    assert [(r.chunk_index, r.file_index) for r in got[:5]] == [(0, 0), (0, 1), (0, 1), (0, 1), (1, 0)]
+
+
+def test_merged_deviation_of_a_large_mean(spark):
+    x = [1e8 + d for d in (-1.0, 1.0, -2.0, 2.0, -1.5, 1.5)]
+    df = spark.createDataFrame([(k, i // 2, v) for k in ("a", None) for i, v in enumerate(x)], "k string, part long, x double")
+    merged = stats.merge_stats(stats.feature_stats(df, ["k", "part"], "x", ()), ["k"]).collect()
+    assert len(merged) == 2
+    assert all(np.isclose(r["std"], np.std(x), rtol=1e-6) and r["count"] == 6 for r in merged)
 
 
 def test_runs(spark):
