@@ -122,7 +122,14 @@ def worded(tag: str, names: str) -> bool:
 
 def _holds(node: Node) -> bool:
     """Whether a node is named for the main text or one below it is."""
-    return node.tag in MAIN or node.tag not in SKIPPED and any(_holds(c) for c in node.children if isinstance(c, Node))
+    open_ = [node]
+    while open_:
+        n = open_.pop()
+        if n.tag in MAIN:
+            return True
+        if n.tag not in SKIPPED:
+            open_ += [c for c in n.children if isinstance(c, Node)]
+    return False
 
 
 def _skipped(node: Node, level: int) -> bool:
@@ -145,20 +152,27 @@ def _hashed(block: str) -> str:
 
 
 def _generalise(node: Node) -> list:
-    return _generalised(node)[0]
-
-
-def _generalised(node: Node) -> tuple[list, str]:
-    """(element, its own text)"""
-    own = _own_text(node) if node.tag not in RAW else ""
-    inner = [_generalise(c) for c in node.children if isinstance(c, Node) and c.tag not in PHRASING]
-    for c in node.children:
-        if isinstance(c, Node) and c.tag in PHRASING:
-            below, text = _generalised(c)
-            own = f"{own} {text}".strip()
-            inner += below[5]
-    texts = [_hashed(t)] if (t := " ".join(entities.unescape(own).split())) else []
-    return [label(node), False, False, _slot(texts), len(own), _fold(inner), 1, len(texts), texts], own
+    # By steps, not by calls, here and below: pages may be nested however deep. First down, then back up.
+    order = [node]
+    for n in order:
+        order += [c for c in n.children if isinstance(c, Node)]
+    done: dict[int, tuple[list, list[str]]] = {}
+    for n in reversed(order):
+        own, inner = [] if n.tag in RAW else [_own_text(n)], []
+        for c in n.children:
+            if isinstance(c, Node):
+                e, text = done.pop(id(c))
+                if c.tag in PHRASING:
+                    own += text
+                    inner += e[5]
+                else:
+                    inner.append(e)
+        said, texts = "", []
+        if n.tag not in PHRASING:
+            said = " ".join(filter(None, own))
+            texts = [_hashed(t)] if (t := " ".join(entities.unescape(said).split())) else []
+        done[id(n)] = [label(n), False, False, _slot(texts), len(said), _fold(inner), 1, len(texts), texts], own
+    return done[id(node)][0]
 
 
 def _slot(texts: list[str]) -> str | int | None:
@@ -179,23 +193,39 @@ def _fold(elements: list) -> list:
 
 def _merge(a: list, b: list, pages: Callable[[int, int], int] = operator.add) -> list:
     """pages: how numbers of pages meet; those of neighbours on one page don't add up."""
+    out = _met(a, b, pages)
+    open_ = [(out, a[5], b[5])]
+    while open_:
+        e, x, y = open_.pop()
+        e[5], below = align(x, y, pages)
+        open_ += below
+    return out
+
+
+def _met(a: list, b: list, pages: Callable[[int, int], int]) -> list:
+    """Two elements as one, without the elements in them."""
     texts = a[8] if a[8] == b[8] else sorted({*a[8], *b[8]})[:SEVERAL]
-    return [a[0], a[1] or b[1], a[2] or b[2], _slot(texts), a[4] + b[4], align(a[5], b[5], pages), pages(a[6], b[6]), pages(a[7], b[7]), texts]
+    return [a[0], a[1] or b[1], a[2] or b[2], _slot(texts), a[4] + b[4], [], pages(a[6], b[6]), pages(a[7], b[7]), texts]
 
 
-def align(a: list, b: list, pages: Callable[[int, int], int] = operator.add) -> list:
-    """The least sequence of elements that matches both: common subsequence, the rest optional."""
+def align(a: list, b: list, pages: Callable[[int, int], int] = operator.add) -> tuple[list, list]:
+    """The least sequence of elements that matches both: common subsequence, the rest optional.
+
+    Also the elements that met, each with the two sequences that are to be aligned within it.
+    """
     if [x[0] for x in a] == [x[0] for x in b]:
-        return [_merge(x, y, pages) for x, y in zip(a, b)]
+        out = [_met(x, y, pages) for x, y in zip(a, b)]
+        return out, [(e, x[5], y[5]) for e, x, y in zip(out, a, b)]
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
             best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
+    out, below, i, j = [], [], 0, 0
     while i < n or j < m:
         if i < n and j < m and a[i][0] == b[j][0]:
-            out.append(_merge(a[i], b[j], pages))
+            out.append(_met(a[i], b[j], pages))
+            below.append((out[-1], a[i][5], b[j][5]))
             i, j = i + 1, j + 1
         elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
             out.append([a[i][0], True, *a[i][2:]])
@@ -203,7 +233,7 @@ def align(a: list, b: list, pages: Callable[[int, int], int] = operator.add) ->
         else:
             out.append([b[j][0], True, *b[j][2:]])
             j += 1
-    return out
+    return out, below
 
 
 def infer(pages: Iterator[str]) -> list:
@@ -224,9 +254,39 @@ def _split(name: str) -> tuple[str, str]:
     return tag, names
 
 
+def dump(wrapper: list) -> str:
+    """A wrapper as JSON: its elements in page order, each with the number of those in it."""
+    flat, open_ = [], [wrapper[1]]
+    while open_:
+        e = open_.pop()
+        flat.append([*e[:5], len(e[5]), *e[6:]])
+        open_ += reversed(e[5])
+    return json.dumps([wrapper[0], flat])
+
+
+def load(said: str) -> list:
+    pages, flat = json.loads(said)
+    above: list[tuple[list, int]] = []
+    for e in flat:
+        holds, e[5] = e[5], []
+        while above and len(above[-1][0][5]) == above[-1][1]:
+            above.pop()
+        if above:
+            above[-1][0][5].append(e)
+        above.append((e, holds))
+    return [pages, flat[0]]
+
+
 def _has_main(e: list) -> bool:
-    tag = _split(e[0])[0]
-    return tag in MAIN or tag not in SKIPPED and any(map(_has_main, e[5]))
+    open_ = [e]
+    while open_:
+        e = open_.pop()
+        tag = _split(e[0])[0]
+        if tag in MAIN:
+            return True
+        if tag not in SKIPPED:
+            open_ += e[5]
+    return False
 
 
 def _out(e: list, level: int) -> bool:
@@ -234,40 +294,56 @@ def _out(e: list, level: int) -> bool:
     return tag in SKIPPED or level < TAGS and worded(tag, names) and not (level == HOLDING and _has_main(e))
 
 
-def _mass(e: list, level: int) -> int:
-    return 0 if _out(e, level) else e[4] + sum(_mass(x, level) for x in e[5])
-
-
-def _named(wrapper: list, level: int) -> list[tuple[int, int, list[str]]]:
-    """(characters, depth, path) of the elements with text that are named for the main text."""
-    found: list[tuple[int, int, list[str]]] = []
-
-    def look(e: list, path: list[str]) -> None:
+def _masses(wrapper: list, level: int) -> dict[int, int]:
+    """Characters of each element with those in it, by its identity; 0 for what is left out."""
+    order, left = [wrapper[1]], set()
+    for e in order:
         if _out(e, level):
-            return
-        path = [*path, e[0]]
-        if _split(e[0])[0] in MAIN and (size := _mass(e, level)):
-            found.append((size, len(path), path))
-        for x in e[5]:
-            look(x, path)
-
-    look(wrapper[1], [])
-    return found
+            left.add(id(e))
+        else:
+            order += e[5]
+    mass: dict[int, int] = {}
+    for e in reversed(order):
+        mass[id(e)] = 0 if id(e) in left else e[4] + sum(mass[id(x)] for x in e[5])
+    return mass
+
+
+def _named(wrapper: list, level: int) -> tuple[list[tuple[int, int, str]], list[str]]:
+    """(characters, depth, tag) of the elements with text that are named for the main text; the path to the first of the largest."""
+    mass = _masses(wrapper, level)
+    found: list[tuple[int, int, str]] = []
+    path: list[str] = []
+    best: list[str] = []
+    most = (0, 0)
+    open_ = [(wrapper[1], 1)]
+    while open_:
+        e, depth = open_.pop()
+        if _out(e, level):
+            continue
+        del path[depth - 1 :]
+        path.append(e[0])
+        if (tag := _split(e[0])[0]) in MAIN and mass[id(e)]:
+            found.append((mass[id(e)], depth, tag))
+            if found[-1][:2] > most:
+                most, best = found[-1][:2], path[:]
+        open_ += [(x, depth + 1) for x in reversed(e[5])]
+    return found, best
 
 
 def main_path(wrapper: list, level: int | None = None) -> tuple[list[str], bool, int]:
     """(labels down to the element with the main text, whether it is named for it, what class words leave out)."""
     if level is None:
         # An article that no class word hides makes others comments and the like; without one, none is left out.
-        level, strict, holding = STRICT, _named(wrapper, STRICT), _named(wrapper, HOLDING)
-        if not any(_split(path[-1])[0] == "article" for *_, path in strict) and 2 * max(strict, default=(0,))[0] < max(holding, default=(0,))[0]:
+        level, strict, holding = STRICT, _named(wrapper, STRICT)[0], _named(wrapper, HOLDING)[0]
+        if not any(tag == "article" for *_, tag in strict) and 2 * max(strict, default=(0,))[0] < max(holding, default=(0,))[0]:
             level = HOLDING
-    if named := _named(wrapper, level):
-        return max(named, key=lambda x: x[:2])[2], True, level
+    if best := _named(wrapper, level)[1]:
+        return best, True, level
+    mass = _masses(wrapper, level)
     e, path = wrapper[1], [wrapper[1][0]]
     while e[5]:
-        below = max(e[5], key=lambda x: _mass(x, level))
-        if _mass(below, level) <= 0.6 * _mass(e, level) or _split(below[0])[0] in ("p", "li", "ul", "ol", "table", "blockquote", "pre"):
+        below = max(e[5], key=lambda x: mass.get(id(x), 0))
+        if mass.get(id(below), 0) <= 0.6 * mass[id(e)] or _split(below[0])[0] in ("p", "li", "ul", "ol", "table", "blockquote", "pre"):
             break
         e = below
         path.append(e[0])
@@ -285,16 +361,13 @@ def _constant(wrapper: list, path: list[str]) -> set[str]:
     out: set[str] = set()
     most = 0
 
-    def gather(e: list) -> None:
-        nonlocal most
+    open_ = here[:]
+    while open_:
+        e = open_.pop()
         most = max(most, len(e[8]))
         if isinstance(e[3], str) and e[7] == pages and not e[1] and not e[2]:
             out.add(e[3])
-        for x in e[5]:
-            gather(x)
-
-    for e in here:
-        gather(e)
+        open_ += e[5]
     # Copies of a page don't tell what is constant: their main texts are equal.
     return out if most >= SEVERAL else set()
 
@@ -362,15 +435,15 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
                 one = [1, _generalise(parse(page))]
                 known[host] = combine(known[host], one) if host in known else one
             if len(known) > 20_000:  # a partition of very many hosts sends some of them in parts
-                yield pa.RecordBatch.from_arrays([pa.array(known), pa.array(map(json.dumps, known.values()))], ["host", "wrapper"])
+                yield pa.RecordBatch.from_arrays([pa.array(known), pa.array(map(dump, known.values()))], ["host", "wrapper"])
                 known = {}
-        yield pa.RecordBatch.from_arrays([pa.array(known, pa.string()), pa.array(map(json.dumps, known.values()), pa.string())], ["host", "wrapper"])
+        yield pa.RecordBatch.from_arrays([pa.array(known, pa.string()), pa.array(map(dump, known.values()), pa.string())], ["host", "wrapper"])
 
     def meet(table: pa.Table) -> pa.Table:
         out = None
-        for w in map(json.loads, sorted(table.column("wrapper").to_pylist())):
+        for w in map(load, sorted(table.column("wrapper").to_pylist())):
             out = w if out is None else combine(out, w)
-        return pa.table({"host": [table.column("host")[0].as_py()], "wrapper": [json.dumps(out)]})
+        return pa.table({"host": [table.column("host")[0].as_py()], "wrapper": [dump(out)]})
 
     schema = "host string, wrapper string"
     return pages.select("host", "html").mapInArrow(fold, schema).groupBy("host").applyInArrow(meet, schema)
@@ -389,7 +462,7 @@ def extract_main(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                 if said not in plans:
                     if len(plans) > 1000:
                         plans.clear()
-                    w = json.loads(said)
+                    w = load(said)
                     path, *how = main_path(w)
                     plans[said] = (path, *how, _constant(w, path))
                 texts.append(extract(page, None, plans[said]))

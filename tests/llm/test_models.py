@@ -306,6 +306,16 @@ def test_class_words_leave_the_main_text(page, want):
 
 
 # --- all together --------------------------------------------------------------------------------
+@pytest.mark.parametrize("tag", ["div", "article", "b", "section"])
+def test_pages_nested_very_deep(tag):
+    deep = 10_000
+    page = f"<html><body><nav>menu</nav>{f'<{tag}>' * deep}<p>the text of the page</p>{f'</{tag}>' * deep}</body></html>"
+    found = wrappers.infer([page, page.replace("text", "other text")])
+    said = wrappers.dump(found)
+    assert wrappers.dump(wrappers.load(said)) == said
+    assert wrappers.extract(page, found) == "the text of the page"
+
+
 def test_pipeline_stages(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
