@@ -7,6 +7,7 @@ from .mixing import OP5_SQL, op5_mixing
 from .mpegts import op4_transport_stream
 from .pii import op10_pii
 from .quality import op9_quality
+from .simhash import op13_simhash
 from .substrings import op3_substrings
 from .tokenbin import op1_token_file
 from .wrappers import op8_html
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_html": op8_html,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
+    "op13_simhash": op13_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_mixing": OP5_SQL}
