@@ -34,14 +34,17 @@ def _pow(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """The words of some texts: hash, byte span (in ``buffer``, texts joined by a newline) and text of each."""
+    """The words of some texts: hash, byte span (in ``buffer``, texts joined by a newline) and text of each.
 
-    def __init__(self, texts: list[bytes], lower: bool = False):
+    space: by byte, whether it parts words; a newline must.
+    """
+
+    def __init__(self, texts: list[bytes], lower: bool = False, space: np.ndarray = _space):
         self.buffer = b"\n".join(texts)
         raw = np.frombuffer(self.buffer, np.uint8)
         if lower:
             raw = _lower[raw]
-        inside = ~_space[raw]
+        inside = ~space[raw]
         edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
         self.starts, self.ends = edge[::2], edge[1::2]
         power, inverse = _pow(_BASE, len(raw) + 1)

@@ -1,10 +1,12 @@
 """The training-data queries by name, and DuckDB SQL for those that SQL can express."""
 
 from .bpe import op6_byte_bpe
+from .codebooks import OP11_SQL, op11_product_codes
 from .hmm import op7_hmm
 from .jaccard import op2_jaccard
 from .mixing import OP5_SQL, op5_mixing
 from .mpegts import op4_transport_stream
+from .phrases import OP12_SQL, op12_collocations
 from .pii import op10_pii
 from .quality import op9_quality
 from .simhash import op13_simhash
@@ -23,7 +25,9 @@ QUERIES = {
     "op8_html": op8_html,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
+    "op11_product_codes": op11_product_codes,
+    "op12_collocations": op12_collocations,
     "op13_simhash": op13_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_mixing": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_mixing": OP5_SQL, "op11_product_codes": OP11_SQL, "op12_collocations": OP12_SQL}
