@@ -38,6 +38,9 @@ HOT = 1 << 16
 HELD = 400_000
 BLOOM_BITS = (1 << 16, 1 << 27)
 
+#: floor(1000 a n / (l r)) in up to 38 digits.
+SCORE = "cast(1000 * cast(a as decimal(19, 0)) * cast(n as decimal(15, 0)) as decimal(38, 0)) div cast(cast(l as decimal(19, 0)) * cast(r as decimal(19, 0)) as decimal(38, 0))"
+
 _breaks = np.zeros(256, bool)
 _breaks[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _parts = _breaks.copy()
@@ -313,9 +316,7 @@ def collocations(df: DataFrame, least: int = 100, top: int = 2000, percent: int
     cuts = kept.select("lang", "p", "k", "a", F.explode(F.expr("sequence(1, k - 1)")).alias("j"))
     cuts = cuts.withColumns({"left": F.expr("slice(p, 1, j)"), "right": F.expr("slice(p, j + 1, k - j)")})
     cuts = cuts.join(of("l", "left"), ["lang", "left"]).join(of("r", "right"), ["lang", "right"]).join(sizes, "lang")
-    big = "decimal(38, 0)"
-    score = F.expr(f"cast(1000 * cast(a as decimal(19, 0)) * cast(n as decimal(15, 0)) as {big}) div cast(cast(l as decimal(19, 0)) * cast(r as decimal(19, 0)) as {big})")
-    cut = cuts.withColumn("score", score).groupBy("lang", "p").agg(F.min(F.struct("score", "j", "l", "r", "a", "n")).alias("c"))
+    cut = cuts.withColumn("score", F.expr(SCORE)).groupBy("lang", "p").agg(F.min(F.struct("score", "j", "l", "r", "a", "n")).alias("c"))
     scored = cut.select("lang", "p", "c.a", "c.l", "c.r", "c.n", "c.score")
     # Ties at the end are told apart by their texts, so all of them stay until those are known.
     first = scored.withColumn("at", F.rank().over(W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a")))).where(F.col("at") <= top)
