@@ -1,15 +1,16 @@
 """Statistics of features: by episode, merged, global, by histogram, and their comparison.
 
 Moments are partial sums that combine in any order (count, sum, sum of squares; merged ones about the merged mean); quantiles are
-exact, from Spark's own percentile, which merges value counts map-side.
+exact: by episode from Spark's own percentile, which merges value counts map-side, of whole datasets by selection.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import selection
+
 QUANTILES = (0.01, 0.10, 0.50, 0.90, 0.99)
 
 
@@ -26,6 +27,20 @@ def feature_stats(df: DataFrame, keys: list[str], x: str, quantiles=QUANTILES) -
     return df.groupBy(*keys).agg(*_aggregates(F.col(x).cast("double"), quantiles))
 
 
+def global_stats(df: DataFrame, keys: list[str], x: str, quantiles=QUANTILES, most: int = selection.MOST) -> DataFrame:
+    """feature_stats of groups of any size: nothing that is kept grows with the number of distinct values."""
+    v = F.col(x).cast("double")
+    names = keys or ["__all"]
+    keyed = df if keys else df.withColumn("__all", F.lit(0))
+    moments = keyed.groupBy(*names).agg(F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.count(v).alias("count"))
+    found = selection.exact_quantiles(keyed, names, x, quantiles, most=most)
+    wide = found.groupBy(*[F.col(n).alias(f"__k_{n}") for n in names]).agg(*[F.max(F.when(F.col("q") == float(q), F.col("value"))).alias(f"q{round(100 * q):02d}") for q in quantiles])
+    same = F.lit(True)
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"__k_{n}"))
+    return moments.join(wide, same, "left").drop("__all", *[f"__k_{n}" for n in names])
+
+
 def vector_stats(df: DataFrame, keys: list[str], v: str, quantiles=QUANTILES) -> DataFrame:
     """feature_stats of each dimension: keys, dim (from 0) and the statistics."""
     long = df.select(*keys, F.posexplode(v).alias("dim", "__x"))
@@ -52,12 +67,7 @@ def value_histogram(df: DataFrame, keys: list[str], x: str) -> DataFrame:
 
 def histogram_quantiles(histogram: DataFrame, keys: list[str], quantiles=(0.01, 0.5, 0.99)) -> DataFrame:
     """keys, q, value: linear interpolation between the two ranks around q (n - 1), from values and their counts."""
-    by = W.partitionBy(*keys).orderBy("value")
-    counted = histogram.withColumn("__upto", F.sum("n").over(by)).withColumn("__total", F.sum("n").over(W.partitionBy(*keys)))
-    ranks = counted.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in quantiles]))).withColumn("__rank", F.col("q") * (F.col("__total") - 1))
-    at = lambda r: F.min(F.when(F.col("__upto") >= r + 1, F.col("value")))
-    out = ranks.groupBy(*keys, "q").agg(at(F.floor("__rank")).alias("__lo"), at(F.ceil("__rank")).alias("__hi"), F.first("__rank").alias("__rank"))
-    return out.select(*keys, "q", (F.col("__lo") + (F.col("__rank") - F.floor("__rank")) * (F.col("__hi") - F.col("__lo"))).alias("value"))
+    return selection.exact_quantiles(histogram, keys, "value", quantiles, weight="n")
 
 
 def is_close(a: Column, b: Column, rtol: float = 5e-6, atol: float = 6e-5) -> Column:
