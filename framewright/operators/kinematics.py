@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import so3
+from ..functions.signals import norm
+from .trajectory import Frames, mean_where_any, moving_mask
 
 
 @dataclass(frozen=True)
@@ -126,3 +128,17 @@ def snap_axes(m: Column) -> Column:
     x = so3.parts(m, 9)
     cols = [F.greatest(F.abs(x[j]), F.abs(x[3 + j]), F.abs(x[6 + j])) for j in range(3)]
     return so3.vec(F.when(F.abs(x[3 * i + j]) == cols[j], F.signum(x[3 * i + j])).otherwise(0.0) for i in range(3) for j in range(3))
+
+
+def fk_residual(df: DataFrame, f: Frames, chain: Chain, q: str, action: str, eef: str, threshold: float = 1e-4) -> DataFrame:
+    """By episode: state, the mean distance of FK(q) at the next frame from the recorded eef, and target, that of FK(action).
+
+    Means are over frames that move (the state's: whose next eef is away by more than the threshold; the target's: next
+    to such a move), or over all if none does. Both are near zero on sound recordings.
+    """
+    solved = fk(fk(df, chain, q, "__R", "__now"), chain, action, "__R", "__target")
+    far = lambda a, b: norm(F.zip_with(a, b, lambda x, y: x - y))
+    seen, nxt = F.col(eef), F.lead("__now").over(f.by)
+    moves = F.coalesce(far(F.lead(seen).over(f.by), seen) > threshold, F.lit(False))
+    rows = solved.select(*f.episode, far(nxt, seen).alias("__s"), moves.alias("__moves"), far(F.col("__target"), seen).alias("__t"), moving_mask(seen, f, threshold).alias("__near"))
+    return rows.groupBy(*f.episode).agg(mean_where_any(F.col("__s"), F.col("__moves")).alias("state"), mean_where_any(F.col("__t"), F.col("__near")).alias("target"))

@@ -5,10 +5,14 @@ Small dimensions are left to the planner, which broadcasts what is under its siz
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .trajectory import global_rank
+
 
 def left_lookup(df: DataFrame, dim: DataFrame, on: list[str], defaults: dict[str, object] | None = None) -> DataFrame:
     """df with the dimension's columns; defaults where it has no row."""
@@ -56,9 +60,9 @@ def keyed_merge(tables: list[DataFrame], key: str) -> DataFrame:
 
 
 def task_dictionary(df: DataFrame, task: str, order: list[str]) -> DataFrame:
-    """task, task_index: dense numbers by first appearance. The window is over distinct tasks."""
+    """task, task_index: dense numbers by first appearance, by ranges of it."""
     first = df.groupBy(task).agg(F.min(F.struct(*order)).alias("__o"))
-    return first.select(task, (F.row_number().over(W.orderBy("__o", task)) - 1).cast("long").alias("task_index"))
+    return global_rank(first, ["__o", task], "task_index").select(task, F.col("task_index").cast("long"))
 
 
 def with_task_index(df: DataFrame, tasks: DataFrame, task: str) -> DataFrame:
@@ -87,6 +91,28 @@ def min_length(df: DataFrame, episode: str, n: int) -> DataFrame:
     return df.join(df.groupBy(episode).agg(F.count("*").alias("__n")).where(F.col("__n") >= n), episode, "left_semi")
 
 
+def keep_episodes(episodes: DataFrame, length: Column, dataset: Column, success: Column, only_successes_of: list[str]) -> DataFrame:
+    """Episodes with frames; of some datasets, those that succeeded only (an unknown outcome isn't one)."""
+    return episodes.where((length > 0) & (~F.coalesce(dataset.isin(only_successes_of), F.lit(False)) | F.coalesce(success, F.lit(False))))
+
+
+def with_all_present(episodes: DataFrame, present: DataFrame, episode: str, key: str, wanted: list[str]) -> DataFrame:
+    """Episodes that have every wanted key (a camera's video, say) in ``present``; with none wanted, all."""
+    if not wanted:
+        return episodes
+    has = present.where(F.col(key).isin(wanted)).groupBy(episode).agg(F.countDistinct(key).alias("__n")).where(F.col("__n") == len(set(wanted)))
+    return episodes.join(has, episode, "left_semi")
+
+
+def matching(df: DataFrame, equal: dict[str, str | None], containing: dict[str, str | None]) -> DataFrame:
+    """Rows whose columns equal (or contain) the values asked for, whatever the case; None asks for nothing."""
+    for c, v in equal.items():
+        df = df if v is None else df.where(F.lower(c) == v.lower())
+    for c, v in containing.items():
+        df = df if v is None else df.where(F.contains(F.lower(c), F.lit(v.lower())))
+    return df
+
+
 def drop_by_threshold(df: DataFrame, episode: str, value: Column, most: float) -> DataFrame:
     """Episodes whose largest value isn't above ``most``."""
     bad = df.groupBy(episode).agg(F.max(value).alias("__m")).where(F.col("__m") > most)
@@ -134,6 +160,31 @@ def percent_slice(ordinal: Column, total: int, low: int, high: int) -> Column:
     return (ordinal >= bound(low)) & (ordinal < bound(high))
 
 
+def in_split(ordinal: Column, total: int, split: str) -> Column:
+    """Whether an ordinal is in a split's slice: ``train``, ``train[2:8]``, ``train[:-5]``, ``train[10%:25%]``, ``train[50%:]``.
+
+    Bounds are as in Python, or percents to the nearest whole episode; several slices may be joined by ``+``.
+    """
+    out = F.lit(False)
+    for part in split.split("+"):
+        m = re.fullmatch(r"\s*(\w+)(?:\[(-?\d+%?)?:(-?\d+%?)?\])?\s*", part)
+        if not m:
+            raise ValueError(f"no split: {part!r}")
+        low, high = (_bound(b, total) for b in (m[2] or "0", m[3] or "100%"))
+        out = out | ((ordinal >= low) & (ordinal < high))
+    return out
+
+
+def _bound(text: str, total: int) -> int:
+    if text.endswith("%"):
+        percent = int(text[:-1])
+        if abs(percent) > 100:
+            raise ValueError(f"{text} is beyond the whole")
+        at = (abs(percent) * total + 50) // 100
+        return total - at if percent < 0 else at
+    return max(0, total + int(text)) if text.startswith("-") else min(int(text), total)
+
+
 def strided_sample(ordinal: Column, total: int, k: int) -> Column:
     """Every (total // k)-th, k at most."""
     step = max(1, total // k)
@@ -157,5 +208,6 @@ def union_shards(shards: list[DataFrame], episode: str = "episode_index") -> Dat
         t = s.withColumn("__shard", F.lit(i))
         out = t if out is None else out.unionByName(t)
     sizes = out.groupBy("__shard").agg((F.max(episode) + 1).alias("__n"))
+    # As many rows as there are shards in the list.
     before = sizes.select("__shard", (F.sum("__n").over(W.orderBy("__shard")) - F.col("__n")).alias("__off"))
     return out.join(F.broadcast(before), "__shard").withColumn(episode, F.col(episode) + F.col("__off")).drop("__shard", "__off")

@@ -6,8 +6,11 @@ the episode, no range join.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -73,40 +76,123 @@ def _steady(b: np.ndarray, a: np.ndarray) -> np.ndarray:
     return np.linalg.solve(np.eye(n) - companion, b[1:] - a[1:] * b[0])
 
 
-def _filter(b: np.ndarray, a: np.ndarray, x: np.ndarray, state: np.ndarray) -> np.ndarray:
-    out, s = np.empty_like(x), state.copy()
-    for i, v in enumerate(x):
-        y = b[0] * v + s[0]
-        s[:-1] = s[1:] + b[1:-1] * v - a[1:-1] * y
-        s[-1] = b[-1] * v - a[-1] * y
-        out[i] = y
+class _Blocked:
+    """A linear recurrence over blocks of samples: within a block products with fixed matrices, between blocks the state.
+
+    The state goes on by s' = M s + B x, y = s[0] + b0 x. A block's outputs are those of a zero state (a triangular
+    matrix of the impulse response) and what the state at its start adds (powers of M).
+    """
+
+    def __init__(self, b: np.ndarray, a: np.ndarray, size: int = 64):
+        n = len(a) - 1
+        move = np.zeros((n, n))
+        move[:-1, 1:] = np.eye(n - 1)
+        move[:, 0] -= a[1:]
+        drive = b[1:] - a[1:] * b[0]
+        powers = [np.eye(n)]
+        for _ in range(size):
+            powers.append(powers[-1] @ move)
+        response = np.array([b[0], *(p[0] @ drive for p in powers[: size - 1])])
+        lag = np.arange(size)[:, None] - np.arange(size)[None, :]
+        self.size = size
+        self.alone = np.where(lag >= 0, response[np.maximum(lag, 0)], 0.0)
+        self.seen = np.stack([p[0] for p in powers[:size]])
+        self.kept = np.stack([powers[size - 1 - u] @ drive for u in range(size)], axis=1)
+        self.over = powers[size]
+
+    def run(self, x: np.ndarray, sizes: np.ndarray, steady: np.ndarray) -> np.ndarray:
+        """Each of the sequences that lie one after another in x, from the steady state of its first sample."""
+        blocks = -(-sizes // self.size)
+        first = np.cumsum(blocks) - blocks
+        at = np.arange(len(x)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(first * self.size, sizes)
+        laid = np.zeros(int(blocks.sum()) * self.size)
+        laid[at] = x
+        laid = laid.reshape(-1, self.size)
+        gained = laid @ self.kept.T
+        states = np.empty((len(laid), len(steady)))
+        longest = np.argsort(-blocks, kind="stable")
+        state = steady[None, :] * laid[first[longest], 0][:, None]
+        for k in range(int(blocks.max(initial=0))):
+            on = int(np.searchsorted(-blocks[longest], -k, "left"))
+            here = first[longest[:on]] + k
+            states[here] = state[:on]
+            state = state[:on] @ self.over.T + gained[here]
+        return (laid @ self.alone.T + states @ self.seen.T).ravel()[at]
+
+
+def filtfilt_all(b: np.ndarray, a: np.ndarray, x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Forward and backward over each of the sequences in x, with odd extension at the ends.
+
+    What is no longer than the extension, 3 max(len(a), len(b)), stays as it is.
+    """
+    pad = 3 * max(len(a), len(b))
+    start = np.cumsum(sizes) - sizes
+    long = sizes > pad
+    out = x.astype(np.float64)
+    if not long.any():
+        return out
+    start, sizes = start[long], sizes[long]
+    wide = sizes + 2 * pad
+    of = np.repeat(np.arange(len(sizes)), wide)
+    place = np.arange(len(of)) - np.repeat(np.cumsum(wide) - wide, wide) - pad
+    last = sizes[of] - 1
+    mirrored = np.where(place < 0, -place, np.where(place > last, 2 * last - place, place))
+    ext = out[start[of] + mirrored]
+    for outside, end in ((place < 0, 0), (place > last, last)):
+        ext = np.where(outside, 2 * out[start[of] + end] - ext, ext)
+    recurrence, steady = _Blocked(b, a), _steady(b, a)
+    turned = np.cumsum(wide)[of] - 1 - (place + pad)
+    back = recurrence.run(recurrence.run(ext, wide, steady)[turned], wide, steady)[turned]
+    inside = (place >= 0) & (place <= last)
+    out[start[of[inside]] + place[inside]] = back[inside]
     return out
 
 
 def filtfilt(b: np.ndarray, a: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Forward and backward, with odd extension at the ends; what is no longer than the extension stays as it is."""
-    pad = 3 * len(a)
-    if len(x) <= pad:
-        return x
-    ext = np.concatenate([2 * x[0] - x[pad:0:-1], x, 2 * x[-1] - x[-2 : -pad - 2 : -1]])
-    zi = _steady(b, a)
-    y = _filter(b, a, ext, zi * ext[0])
-    y = _filter(b, a, y[::-1], zi * y[-1])[::-1]
-    return y[pad:-pad]
+    return filtfilt_all(b, a, np.asarray(x), np.array([len(x)]))
+
+
+def _changes(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
+    """Row numbers at which a column differs from the row before; nulls are equal."""
+    n = batch.num_rows
+    new = np.zeros(max(n - 1, 0), bool)
+    for c in columns:
+        x, y = batch.column(c).slice(0, n - 1), batch.column(c).slice(1)
+        both = pc.and_(pc.is_null(x), pc.is_null(y))
+        new |= pc.and_not(pc.fill_null(pc.not_equal(x, y), True), both).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new) + 1
 
 
 def smooth(df: DataFrame, key: list[str], order_by: list[str], columns: list[str], fps: float, cutoff_hz: float, order: int = 2) -> DataFrame:
-    """df with columns low-passed in zero phase, an episode at a time (a recursion, so in pandas)."""
+    """df with columns low-passed in zero phase; all whole episodes of a batch at once, one episode is in one task."""
     b, a = butterworth(order, cutoff_hz / (fps / 2.0))
 
-    def run(episode: pd.DataFrame) -> pd.DataFrame:
-        episode = episode.sort_values(order_by, kind="stable")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held and not len(_changes(pa.concat_batches([held[-1].slice(held[-1].num_rows - 1), batch]), key)):
+                held.append(batch)  # one episode still
+                continue
+            whole = pa.concat_batches([*held, batch])
+            edges = _changes(whole, key)
+            cut = int(edges[-1]) if len(edges) else 0
+            if cut:
+                yield filtered(whole.slice(0, cut), np.diff([0, *edges]))
+            held = [whole.slice(cut)]
+        if held:
+            whole = pa.concat_batches(held)
+            yield filtered(whole, np.diff([0, *_changes(whole, key), whole.num_rows]))
+
+    def filtered(batch: pa.RecordBatch, sizes: np.ndarray) -> pa.RecordBatch:
         for c in columns:
-            episode[c] = filtfilt(b, a, episode[c].to_numpy(np.float64))
-        return episode
+            x = batch.column(c).to_numpy(zero_copy_only=False)
+            batch = batch.set_column(batch.schema.get_field_index(c), c, pa.array(filtfilt_all(b, a, x, sizes)))
+        return batch
 
     typed = df.withColumns({c: F.col(c).cast("double") for c in columns})
-    return typed.groupBy(*key).applyInPandas(run, typed.schema)
+    return typed.repartition(*key).sortWithinPartitions(*key, *order_by).mapInArrow(run, typed.schema)
 
 
 def repair_lengths(state: DataFrame, action: DataFrame, index: DataFrame, episode: str, frame: str, value: str, zero: Column) -> DataFrame:

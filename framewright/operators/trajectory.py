@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import so3
 from ..functions.signals import norm
-from ..scratch import written
+from .ranges import PART, dealt, running_sums, sums_before
 
 
 class Frames:
@@ -108,19 +108,16 @@ def episode_runs(df: DataFrame, episode: str, order: list[str]) -> DataFrame:
 
 def global_rank(df: DataFrame, order: list[str], name: str = "rank", parts: int | None = None) -> DataFrame:
     """Dense numbers from 0 in a total order: range partitions, ranks within, and an offset for each partition."""
-    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Written once: ranks and counts must see the same bounds, and those are sampled.
-    dealt = written(df.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id()), "ranges")
-    inside = F.row_number().over(W.partitionBy("__part").orderBy(*order)) - 1
-    counts = dealt.groupBy("__part").agg(F.count("*").alias("__n"))
-    offsets = counts.select("__part", (F.sum("__n").over(W.orderBy("__part")) - F.col("__n")).alias("__before"))
-    return dealt.withColumn("__in", inside).join(F.broadcast(offsets), "__part").withColumn(name, F.col("__before") + F.col("__in")).drop("__part", "__in", "__before")
+    ranges = dealt(df, order, parts)
+    inside = F.row_number().over(W.partitionBy(PART).orderBy(*order)) - 1
+    before = sums_before(ranges, {"__before": F.lit(1).cast("long")})
+    return ranges.withColumn("__in", inside).join(F.broadcast(before), PART).withColumn(name, F.col("__before") + F.col("__in")).drop(PART, "__in", "__before")
 
 
 def dataset_offsets(episodes: DataFrame, episode: str = "episode_index", length: str = "length") -> DataFrame:
     """episodes and dataset_from_index, dataset_to_index: running sums of lengths."""
-    upto = F.sum(length).over(W.orderBy(episode).rowsBetween(W.unboundedPreceding, W.currentRow))
-    return episodes.withColumn("dataset_to_index", upto).withColumn("dataset_from_index", F.col("dataset_to_index") - F.col(length))
+    out = running_sums(episodes, [episode], {"dataset_to_index": F.col(length)})
+    return out.withColumn("dataset_from_index", F.col("dataset_to_index") - F.col(length))
 
 
 def video_offsets(packed: DataFrame, file: list[str], order: str, duration: str) -> DataFrame:
@@ -142,9 +139,8 @@ def step_flags(df: DataFrame, f: Frames) -> DataFrame:
 
 def shard_reoffset(sidecar: DataFrame, shards: DataFrame, shard: str = "shard", total: str = "total_episodes") -> DataFrame:
     """sidecar with episode_index moved by the episodes of earlier shards."""
-    before = F.sum(total).over(W.orderBy(shard).rowsBetween(W.unboundedPreceding, -1))
-    offsets = shards.select(shard, F.coalesce(before, F.lit(0)).alias("__off"))
-    return sidecar.join(F.broadcast(offsets), shard).withColumn("episode_index", F.col("episode_index") + F.col("__off")).drop("__off")
+    sums = running_sums(shards.select(shard, total), [shard], {"__upto": F.col(total)})
+    return sidecar.join(sums.select(shard, (F.col("__upto") - F.col(total)).alias("__off")), shard).withColumn("episode_index", F.col("episode_index") + F.col("__off")).drop("__off")
 
 
 def moving_mask(xyz: Column, f: Frames, threshold: float = 1e-4) -> Column:
