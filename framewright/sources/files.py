@@ -270,3 +270,24 @@ def tfrecord_payload(nested: DataFrame, columns: list[str]) -> DataFrame:
 
 def append_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
+
+
+def read_yaml(spark: SparkSession, path: str, glob: str = "*.yaml") -> DataFrame:
+    """(path, json, error): each YAML file's content as JSON text, for ``get_json_object`` and ``from_json``; one without content is {}. Files of no bytes aren't listed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import json
+
+        import yaml
+
+        for batch in batches:
+            made = []
+            for at, text in zip(batch.column("path").to_pylist(), batch.column("value").to_pylist()):
+                try:
+                    made.append({"path": at, "json": json.dumps(yaml.safe_load(text) or {}, default=str, ensure_ascii=False), "error": None})
+                except yaml.YAMLError as e:
+                    made.append({"path": at, "json": None, "error": str(e).splitlines()[0]})
+            yield pa.RecordBatch.from_pylist(made, pa.schema([(n, pa.string()) for n in ("path", "json", "error")]))
+
+    texts = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)
+    return texts.select(F.col("_metadata.file_path").alias("path"), "value").mapInArrow(run, "path string, json string, error string")
