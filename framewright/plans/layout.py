@@ -13,6 +13,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import flat_name
 from ..operators import meta, stats, trajectory
 from . import packing
 
@@ -121,6 +122,42 @@ def read_tasks(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/meta/tasks") if info.codebase_version == "v3.0" else spark.read.schema("task_index long, task string").json(f"{root}/meta/tasks")
 
 
+def read_episodes(spark: SparkSession, root: str) -> DataFrame:
+    """The episode table of either version in order of its episodes."""
+    info = read_info(spark, root)
+    found = spark.read.parquet(f"{root}/meta/episodes") if info.codebase_version == "v3.0" else spark.read.json(f"{root}/meta/episodes")
+    return found.orderBy("episode_index")
+
+
+#: The statistics that version v2.1 keeps.
+LEGACY_STATS = ("min", "max", "mean", "std", "count")
+
+
+def legacy_stats(episodes: DataFrame) -> DataFrame:
+    """(episode_index, stats): the columns ``stats/feature/statistic`` nested by feature, with version v2.1's statistics only."""
+    features: dict[str, list[str]] = {}
+    for c in episodes.columns:
+        head, _, rest = c.partition("/")
+        feature, _, stat = rest.rpartition("/")
+        if head == "stats" and stat in LEGACY_STATS:
+            features.setdefault(feature, []).append(stat)
+    made = [F.struct(*[F.col(f"`stats/{f}/{s}`").alias(s) for s in LEGACY_STATS if s in stats_]).alias(f) for f, stats_ in features.items()]
+    return episodes.select("episode_index", F.struct(*made).alias("stats") if made else F.expr("named_struct()").alias("stats"))
+
+
+def write_legacy_stats(episodes: DataFrame, root: str) -> None:
+    """Version v2.1's statistics of the episodes as JSON lines, in their order."""
+    legacy_stats(episodes).orderBy("episode_index").write.mode("overwrite").json(f"{root}/meta/episodes_stats")
+
+
+def read_legacy_stats(spark: SparkSession, root: str) -> DataFrame:
+    """(episode_index, feature, statistic, values): version v2.1's statistics, whatever the features; nested lists are flat."""
+    raw = spark.read.schema("episode_index long, stats map<string, map<string, string>>").json(f"{root}/meta/episodes_stats")
+    long = raw.select("episode_index", F.explode("stats").alias("feature", "all")).select("episode_index", "feature", F.explode("all").alias("statistic", "text"))
+    numbers = F.split(F.regexp_replace("text", r"[\[\]\s]", ""), ",")
+    return long.select("episode_index", "feature", "statistic", F.transform(F.filter(numbers, lambda x: x != ""), lambda x: x.cast("double")).alias("values"))
+
+
 def v21_to_v30(spark: SparkSession, source: str, target: str, bytes_per_frame: float, limit_mb: float = FILE_MB) -> DataFrame:
     info = read_info(spark, source, "v2.1")
     return write_packed(read_frames(spark, source), read_tasks(spark, source), target, info, bytes_per_frame, limit_mb)
@@ -136,6 +173,19 @@ def legacy_columns(episodes: DataFrame) -> DataFrame:
     return episodes.select(*[c for c in episodes.columns if not c.startswith(("data/", "videos/", "stats/", "meta/"))])
 
 
+def rename_features(df: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
+    """Columns renamed by a map; those it doesn't name by ``flat_name``. Two columns of one name are an error."""
+    new = [(names or {}).get(c, flat_name(c)) for c in df.columns]
+    if len(set(new)) < len(new):
+        raise ValueError(f"columns would share a name: {sorted(n for n in set(new) if new.count(n) > 1)}")
+    return df.toDF(*new)
+
+
+def features_of(df: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """The columns whose type, or an array's element type, is one of ``kinds`` (double, bigint, string ...)."""
+    return df.select(*[F.col(f"`{c}`") for c, t in df.dtypes if t.removeprefix("array<").removesuffix(">") in kinds])
+
+
 def v16_to_v20(frames: DataFrame, task: str | None = None, task_column: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(frames with task_index, tasks): one task for all, or one by column, numbered by first appearance."""
     if (task is None) == (task_column is None):

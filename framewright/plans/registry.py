@@ -13,7 +13,7 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import signals, so3, text
@@ -392,6 +392,13 @@ def dataset(name: str) -> Dataset:
     return DATASETS.get(name, UNKNOWN)
 
 
+def table(spark: SparkSession) -> DataFrame:
+    """(name, fps, robot, state_width, action_width, rule): the registry as a dimension."""
+    width = lambda e: sum(ENCODINGS[e].values())
+    rows = [(n, x.fps, x.robot, width(x.state), width(x.action), x.rule) for n, x in DATASETS.items()]
+    return spark.createDataFrame(rows, "name string, fps double, robot string, state_width long, action_width long, rule string")
+
+
 def standardize(df: DataFrame, name: str, frames: Frames) -> DataFrame:
     """The dataset's steps with its rule applied."""
     return RULES[dataset(name).rule].apply(df, frames)

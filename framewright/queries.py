@@ -203,7 +203,7 @@ def delta_stats(spark, d):
 
 @query(f"select {_STATS} from events")
 def global_stats(spark, d):
-    s = stats.feature_stats(events(spark, d), [], "value")
+    s = stats.global_stats(events(spark, d), [], "value")
     return s.withColumns({c: F.round(c, 6) for c in _ROUNDED})
 
 
@@ -379,10 +379,12 @@ def even_sample(spark, d):
     return spark.range(1).select(F.explode(meta.even_indices(n, 16)).alias("at"))
 
 
-@query("""select user_id + (case when event_type = 'click' then 0 else (select max(user_id) + 1 from events where event_type = 'click') end) as episode_index, event_id from events where event_type in ('click', 'view')""")
+@query("""with s as (select event_type, max(user_id) + 1 as n from events group by 1), o as (select event_type, coalesce(sum(n) over (order by event_type rows between unbounded preceding and 1 preceding), 0) as before from s)
+select (user_id + before)::bigint as episode_index, event_id from events join o using (event_type)""")
 def union_shards(spark, d):
     e = events(spark, d).select(F.col("user_id").alias("episode_index"), "event_id", "event_type")
-    return meta.union_shards([e.where(f"event_type = '{t}'").drop("event_type") for t in ("click", "view")])
+    kinds = sorted(r[0] for r in e.select("event_type").distinct().collect())  # as many as there are shards
+    return meta.union_shards([e.where(F.col("event_type") == t).drop("event_type") for t in kinds])
 
 
 # --- resampling ----------------------------------------------------------------------------------
@@ -430,7 +432,29 @@ def uniform_grid(spark, d):
     return resample.uniform_grid(s, ["user_id"], "a", "b", 0.5).withColumn("t", F.round("t", 6))
 
 
-@query()
+def _filter_sql(b, a, order: int, pad: int) -> str:
+    """Forward and backward recurrences as recursive queries, with odd extension at the ends."""
+    z = resample._steady(b, a)
+    num = lambda v: f"({float(v)!r}::double)"
+    names = [f"s{k}" for k in range(order)]
+
+    def sweep(name: str, source: str) -> str:
+        first = f"select user_id, j, {num(b[0])} * x + {num(z[0])} * x as y, " + ", ".join((f"{num(z[k + 1])} * x + " if k + 1 < order else "") + f"{num(b[k + 1])} * x - {num(a[k + 1])} * ({num(b[0])} * x + {num(z[0])} * x) as {names[k]}" for k in range(order)) + f" from {source} where j = 1"
+        step = f"select e.user_id, e.j, {num(b[0])} * e.x + p.s0 as y, " + ", ".join((f"p.{names[k + 1]} + " if k + 1 < order else "") + f"{num(b[k + 1])} * e.x - {num(a[k + 1])} * ({num(b[0])} * e.x + p.s0)" for k in range(order)) + f" from {name} p join {source} e on e.user_id = p.user_id and e.j = p.j + 1"
+        return f"{name} as ({first} union all {step})"
+
+    return f"""with recursive e as (select user_id, event_id, value, row_number() over ({_W}) as i, count(*) over (partition by user_id) as n from events),
+ext as (
+  select user_id, i + {pad} as j, n + {2 * pad} as m, value as x from e where n > {pad}
+  union all select a.user_id, {pad} + 2 - e.i, e.n + {2 * pad}, 2 * a.value - e.value from e join e a on a.user_id = e.user_id and a.i = 1 where e.n > {pad} and e.i between 2 and {pad + 1}
+  union all select a.user_id, 2 * e.n - e.i + {pad}, e.n + {2 * pad}, 2 * a.value - e.value from e join e a on a.user_id = e.user_id and a.i = a.n where e.n > {pad} and e.n - e.i between 1 and {pad}),
+{sweep("fwd", "ext")},
+turned as (select f.user_id, x.m + 1 - f.j as j, f.y as x, x.m from fwd f join ext x on x.user_id = f.user_id and x.j = f.j),
+{sweep("bwd", "turned")}
+select e.user_id, e.event_id, round(coalesce(b.y, e.value), 6) as value from e left join bwd b on b.user_id = e.user_id and b.j = e.n + {pad} + 1 - e.i"""
+
+
+@query(_filter_sql(*resample.butterworth(2, 5.0 / 15.0), 2, 9))
 def butterworth_smooth(spark, d):
     e = events(spark, d).select("user_id", "ts", "event_id", "value")
     return resample.smooth(e, ["user_id"], ["ts", "event_id"], ["value"], 30.0, 5.0).select("user_id", "event_id", F.round("value", 6).alias("value"))
@@ -684,7 +708,20 @@ def rule_bridge_orig(spark, d):
     return out.select("vec_id", *_matrix("r", F.col("state.eef_rot9d")), rd(F.get("state.gripper_state", F.lit(0))).alias("state_grip"), rd(F.get("target.gripper_state", F.lit(0))).alias("target_grip"))
 
 
-@query("select name, fps, robot, state_width, action_width from (values " + ", ".join(f"('{n}', {x.fps}::double, '{x.robot}', {sum(registry.ENCODINGS[x.state].values())}::bigint, {sum(registry.ENCODINGS[x.action].values())}::bigint)" for n, x in sorted(registry.DATASETS.items())) + ") v(name, fps, robot, state_width, action_width)")
+_KNOWN = sorted(registry.DATASETS)
+_VALUES = ", ".join(f"({i}, '{n}', {x.fps}::double, '{x.robot}', {sum(registry.ENCODINGS[x.state].values())}::bigint, {sum(registry.ENCODINGS[x.action].values())}::bigint)" for i, (n, x) in enumerate(sorted(registry.DATASETS.items())))
+
+
+@query(f"""with v(i, name, fps, robot, state_width, action_width) as (values {_VALUES}), e as (select user_id % {len(_KNOWN) + 1} as i, count(*) as n from events group by user_id)
+select coalesce(name, 'unlisted') as name, coalesce(robot, 'unknown') as robot, coalesce(state_width, 0) as state_width, coalesce(action_width, 0) as action_width, count(*) as episodes, round(sum(n / coalesce(fps, 10)), 6) as seconds from e left join v using (i) group by all""")
 def dataset_registry(spark, d):
-    rows = [(n, x.fps, x.robot, sum(registry.ENCODINGS[x.state].values()), sum(registry.ENCODINGS[x.action].values())) for n, x in registry.DATASETS.items()]
-    return spark.createDataFrame(rows, "name string, fps double, robot string, state_width long, action_width long")
+    """Events as episodes of the registered datasets (and of one that isn't): how long they are at their dataset's rate."""
+    names = F.array(*[F.lit(n) for n in (*_KNOWN, "unlisted")])
+    e = events(spark, d).groupBy("user_id").agg(F.count("*").alias("n")).withColumn("name", F.get(names, (F.col("user_id") % (len(_KNOWN) + 1)).cast("int")))
+    out = e.join(registry.table(spark), "name", "left")
+    known = [F.coalesce("robot", F.lit(registry.UNKNOWN.robot)).alias("robot"), *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("state_width", "action_width")]]
+    seconds = F.sum(F.col("n") / F.coalesce("fps", F.lit(float(registry.UNKNOWN.fps))))
+    return out.groupBy("name", *known).agg(F.count("*").alias("episodes"), F.round(seconds, 6).alias("seconds"))
+
+
+from . import more_queries  # noqa: E402, F401
