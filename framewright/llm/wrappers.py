@@ -2,21 +2,27 @@
 
 A page's token stream (tags with their classes, text) becomes a tree. Inference works on sequences of siblings: two
 streams are aligned; where they agree, their elements are aligned within; an element that one lacks becomes optional
-``(E)?``; equal neighbours, and neighbours that a longer run of the other stream matches, fold into a repeated group
-``(E)+``; text that differs becomes a slot. So a wrapper is a sequence of elements, each with its own sequence, an
-optional and a repeated mark and a slot: no unions. Pages of a partition are folded into one wrapper for each host, then
-the partitions' wrappers of a host into one; both are bounded by the structure of the host, not by its pages.
-
-The wrapper tells where the main text is: an element named for it (article, main), else the element whose slots hold
-the most text, descending while one child holds most. Within it, navigation, headers, footers, asides, forms, scripts,
-notices, adverts and comments are left out by tag and by the words of class and id; so is text that all of several
-pages have there and that never varies while a slot beside it takes several texts, unless the element is named for the
-main text or nothing would be left. Class words never
-leave out html, body or main, nor, as long as no article is free of them, an article or what holds one. A page without
-text at the wrapper's place is its own wrapper; if that finds none either, only tags leave out.
+``(E)?``; equal neighbours fold into ``(E)+``, and so do repeats of several elements, ``(E F)+``, and what lies beside
+such a group and is in it; text that differs becomes a slot. A sequence that stays longer than WIDEST becomes one group
+of optional elements, ``(E? F? G?)+``, which is still free of unions. So a wrapper is a sequence of elements, each with
+its own sequence, an optional and a repeated mark and a slot; a slot knows how often it was filled and, by the least few
+of their hashes, with how many different texts. Pages of a partition are folded into one wrapper for each host, then the
+partitions' wrappers of a host into one. Elements are bounded in number: beyond MOST those that fewest pages have go.
+
+The marks tell what the main text is. A slot that takes few texts beside what the host's best slots take (the same on
+all pages, or one of some in turn) belongs to the template; the others hold what a page is about. The main text is in
+the element that holds nearly all of their characters, descending while one child does, yet not past a varying heading;
+within it a page's blocks are matched to the wrapper's elements, and those of the template are left out. An element
+named for it (article, main) settles where the main text is and is then taken whole but for what its tags leave out.
+Where marks can't tell, on pages that stand alone or for text that varies beside the main text as comments do, tags
+(navigation, headers, footers, asides, scripts, controls) and the words of class and id leave out. Class words never
+leave out html, body or main, nor, as long as no article is free of them, an article or what holds one. A form is left
+out unless it holds an article or main, or all the text there is. A page without text at the wrapper's place is its own
+wrapper; if that finds none either, only tags leave out.
 
 Null, empty and tag-free html: the text there is, if any, is one block; hosts are taken from the url, null and odd urls
-being one host ''. Repeated rows each give a row.
+being one host ''. Repeated rows each give a row. Folding depends on the order of pages where their structure is odd, so
+there a wrapper may differ with the files' splits; marks of what most pages have don't.
 """
 
 from __future__ import annotations
@@ -26,6 +32,7 @@ import html as entities
 import json
 import operator
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -37,8 +44,14 @@ from . import common
 #: Copies of each wrapper that its host's pages are dealt to.
 SALTS = 32
 
-#: Different texts that a slot must take before another that doesn't vary counts as constant.
+#: How often a slot must be filled before its texts tell anything.
 SEVERAL = 4
+#: A slot is the template's if it takes fewer different texts for each time it is filled than this part of the best slots'.
+FEW = 1 / 3
+#: Hashes by which a slot's different texts are counted; estimates beyond.
+KEPT = 16
+#: Elements side by side that are told apart; repeats of several elements, at most; elements of a wrapper.
+WIDEST, LONGEST, MOST = 64, 8, 4000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template svg math iframe".split())
@@ -55,64 +68,131 @@ BOILERPLATE = re.compile(
 #: What such a word says of a page's layout, as in has-sidebar, is not what the element is.
 MODIFIER = re.compile(r"(?:^|(?<=[-_\s]))(?:has|no|with|without)[-_]\S*", re.I)
 MAIN = frozenset(["article", "main"])
+#: Elements that may be anything, told apart by what they hold.
+GENERIC = frozenset(["div", "section", "td"])
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
+LISTS = frozenset("ul ol dl".split())
 #: Never left out by the words of class and id.
 WHOLE = frozenset(["html", "body", "main"])
-#: How much class words leave out: by all of them; all but articles and what holds one; nothing.
-STRICT, HOLDING, TAGS = range(3)
+#: How much class words leave out: by all of them; all but articles and what holds one; nothing. FORMS added: forms stay.
+STRICT, HOLDING, TAGS, FORMS = 0, 1, 2, 4
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*(?:>|$)", re.S)
+_TAG_START = re.compile(r"</?[a-zA-Z]")
+_DELIMITER = re.compile(r"[>\"']")
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "names", "children")
+    __slots__ = ("tag", "names", "children", "shape")
 
     def __init__(self, tag: str, names: str = ""):
-        self.tag, self.names, self.children = tag, names, []
+        self.tag, self.names, self.children, self.shape = tag, names, [], None
+
+
+class _Ends:
+    """Where tags end, for pages on which one doesn't: found once for all places, so that no search goes on to the end twice."""
+
+    def __init__(self, page: str):
+        self.at = [m.start() for m in _DELIMITER.finditer(page)]
+        self.ends = [False] * (len(self.at) + 1)
+        after: dict[str, int] = {}  # the delimiter's next place, by number
+        for k in range(len(self.at) - 1, -1, -1):
+            c = page[self.at[k]]
+            self.ends[k] = c == ">" or (c in after and self.ends[after[c] + 1])
+            if c != ">":
+                after[c] = k
+
+    def has(self, at: int) -> bool:
+        """Whether a tag that begins here has an end."""
+        return self.ends[bisect_left(self.at, at)]
+
+
+class _Open:
+    """The open elements, and by tag the places of those with it."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places, self.holders = [root], {}, [0]
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in HOLDERS:
+            self.holders.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, at: int) -> None:
+        for node in self.nodes[at:]:
+            self.places[node.tag].pop()
+            if node.tag in HOLDERS:
+                self.holders.pop()
+        del self.nodes[at:]
+
+    def close(self, tag: str) -> None:
+        if places := self.places.get(tag):
+            self.cut(places[-1])
+
+    def shut(self, tags: frozenset[str]) -> None:
+        """Close what has one of the tags, down to the last element that holds such."""
+        low = self.holders[-1]
+        found = [places[k] for t in tags if (places := self.places.get(t)) and (k := bisect_right(places, low)) < len(places)]
+        if found:
+            self.cut(min(found))
 
 
 def parse(page: str) -> Node:
     """The tree of a page's tokens; what is left open is closed where HTML closes it, or at the end."""
-    root, at = Node("#root"), 0
-    open_ = [root]
+    root, at, looked = Node("#root"), 0, 0
+    open_ = _Open(root)
+    ends: _Ends | None = None
 
     def text(upto: int) -> None:
         if upto > at:
-            open_[-1].children.append(page[at:upto])
+            open_.nodes[-1].children.append(page[at:upto])
 
-    while m := _TOKEN.search(page, at):
-        text(m.start())
-        at, tag = m.end(), (m[2] or "").lower()
+    while (start := page.find("<", looked)) >= 0:
+        looked = start + 1
+        if ends is not None and _TAG_START.match(page, start) and not ends.has(start):
+            continue
+        m = _TOKEN.match(page, start)
+        if not m:
+            if ends is None and _TAG_START.match(page, start):
+                ends = _Ends(page)
+            continue
+        text(start)
+        at = looked = m.end()
+        tag = (m[2] or "").lower()
         if not tag:
             continue
         if m[1]:
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k].tag == tag:
-                    del open_[k:]
-                    break
+            open_.close(tag)
             continue
         if (shut := CLOSES.get(tag)) or (tag in BLOCKS and tag != "br" and (shut := CLOSES["p"])):
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k].tag in shut:
-                    del open_[k:]
-                elif open_[k].tag in HOLDERS:
-                    break
+            open_.shut(shut)
+        if tag == "form" and open_.places.get(tag):
+            continue  # forms aren't nested
         names = " ".join(next(filter(None, n[1:]), "") for n in _NAMED.findall(m[3])) if "=" in m[3] else ""
         node = Node(tag, names)
-        open_[-1].children.append(node)
+        open_.nodes[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             node.children.append(page[at : end.start() if end else len(page)])
-            at = end.end() if end else len(page)
+            at = looked = end.end() if end else len(page)
         elif tag not in VOID and not m[3].rstrip().endswith("/"):
-            open_.append(node)
+            open_.push(node)
     text(len(page))
     return root
 
 
 def label(node: Node) -> str:
+    """Tag and names, numbers made equal; of an element that may hold anything, also what kind of thing it holds."""
     names = re.sub(r"\d+", "9", node.names)
-    return f"{node.tag}.{names}" if names else node.tag
+    said = f"{node.tag}.{names}" if names else node.tag
+    if node.tag not in GENERIC:
+        return said
+    if node.shape is None:
+        tags = {c.tag for c in _elements(node)}
+        node.shape = "text" if tags & TEXTUAL else "parts" if tags & GENERIC or tags & MAIN else "list" if tags & LISTS else "leaf"
+    return f"{said}#{node.shape}"
 
 
 def worded(tag: str, names: str) -> bool:
@@ -127,28 +207,31 @@ def _holds(node: Node) -> bool:
         n = open_.pop()
         if n.tag in MAIN:
             return True
-        if n.tag not in SKIPPED:
+        if n.tag not in SKIPPED or n.tag == "form":
             open_ += [c for c in n.children if isinstance(c, Node)]
     return False
 
 
 def _skipped(node: Node, level: int) -> bool:
-    return node.tag in SKIPPED or level < TAGS and worded(node.tag, node.names) and not (level == HOLDING and _holds(node))
+    if node.tag == "form":
+        return not level & FORMS and not _holds(node)
+    return node.tag in SKIPPED or level & 3 < TAGS and worded(node.tag, node.names) and not (level & 3 == HOLDING and _holds(node))
 
 
-# A wrapper's element: [label, optional, repeated, slot, size, elements, pages, filled, texts]; slot: None no text, a string
-# the hash of a constant one, 1 varying; size: characters of its own text over all pages; pages: those that have it, and
-# filled: those that fill its slot; texts: the least SEVERAL of the slot's distinct hashes. A wrapper: [pages, element of
-# the root].
+# A wrapper's element: [label, optional, repeated, slot, size, elements, pages, seen, texts]; slot: None no text, a hash
+# the only text, 1 several; size: characters of its own text over all pages; pages: those that have it; seen: how often its slot was filled; texts: the least KEPT of the hashes of
+# its different texts. A group of several elements has the label GROUP. A wrapper: [pages, element of the root].
+LABEL, OPTIONAL, REPEATED, SLOT, SIZE, INNER, PAGES, SEEN, TEXTS = range(9)
+GROUP = "()"
 
 
 def _own_text(node: Node) -> str:
     return " ".join("".join(c for c in node.children if isinstance(c, str)).split())
 
 
-def _hashed(block: str) -> str:
-    """A 64-bit hash of a block's whole text."""
-    return hashlib.blake2b(block.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+def _hashed(block: str) -> int:
+    """A hash of a block's whole text, of 52 bits."""
+    return int.from_bytes(hashlib.blake2b(block.encode("utf-8", "surrogatepass"), digest_size=8).digest()) >> 12
 
 
 def _generalise(node: Node) -> list:
@@ -164,76 +247,197 @@ def _generalise(node: Node) -> list:
                 e, text = done.pop(id(c))
                 if c.tag in PHRASING:
                     own += text
-                    inner += e[5]
+                    inner += e[INNER]
                 else:
                     inner.append(e)
         said, texts = "", []
         if n.tag not in PHRASING:
             said = " ".join(filter(None, own))
             texts = [_hashed(t)] if (t := " ".join(entities.unescape(said).split())) else []
-        done[id(n)] = [label(n), False, False, _slot(texts), len(said), _fold(inner), 1, len(texts), texts], own
+        done[id(n)] = [label(n), False, False, _slot(texts), len(said), inner if n.tag in PHRASING else _tighten(inner, max), 1, len(texts), texts], own
     return done[id(node)][0]
 
 
-def _slot(texts: list[str]) -> str | int | None:
-    return 1 if len(texts) > 1 else texts[0] if texts else None
+def _slot(texts: list[int]) -> str | int | None:
+    return 1 if len(texts) > 1 else f"{texts[0]:x}" if texts else None
 
 
-def _fold(elements: list) -> list:
-    """Equal neighbours become one repeated group."""
-    out = []
-    for e in elements:
-        if out and out[-1][0] == e[0]:
-            out[-1] = _merge(out[-1], e, max)
-            out[-1][2] = True
-        else:
-            out.append(e)
-    return out
+Pages = Callable[[int, int], int]
 
 
-def _merge(a: list, b: list, pages: Callable[[int, int], int] = operator.add) -> list:
+def _met(a: list, b: list, pages: Pages) -> list:
+    """Two elements as one, without the elements in them."""
+    texts = a[TEXTS] if a[TEXTS] == b[TEXTS] else sorted({*a[TEXTS], *b[TEXTS]})[:KEPT]
+    return [a[LABEL], a[OPTIONAL] or b[OPTIONAL], a[REPEATED] or b[REPEATED], _slot(texts), a[SIZE] + b[SIZE], [], pages(a[PAGES], b[PAGES]), a[SEEN] + b[SEEN], texts]
+
+
+def _merge(a: list, b: list, pages: Pages = operator.add) -> list:
     """pages: how numbers of pages meet; those of neighbours on one page don't add up."""
     out = _met(a, b, pages)
-    open_ = [(out, a[5], b[5])]
+    open_ = [(out, a[INNER], b[INNER])]
     while open_:
         e, x, y = open_.pop()
-        e[5], below = align(x, y, pages)
-        open_ += below
+        aligned, below = align(x, y, pages)
+        # Within first: what folds takes whole elements.
+        for met, p, q in below:
+            open_.append((met, p, q))
+        e[INNER] = aligned
     return out
 
 
-def _met(a: list, b: list, pages: Callable[[int, int], int]) -> list:
-    """Two elements as one, without the elements in them."""
-    texts = a[8] if a[8] == b[8] else sorted({*a[8], *b[8]})[:SEVERAL]
-    return [a[0], a[1] or b[1], a[2] or b[2], _slot(texts), a[4] + b[4], [], pages(a[6], b[6]), pages(a[7], b[7]), texts]
+def _labels(e: list) -> set[str]:
+    return {x[LABEL] for x in e[INNER]}
+
 
+def _folded(a: list, b: list, pages: Pages) -> list:
+    """Two that stand side by side as one: optional only if both are."""
+    out = _merge(a, b, pages)
+    out[OPTIONAL] = a[OPTIONAL] and b[OPTIONAL]
+    return out
+
+
+def _into(group: list, elements: list, pages: Pages, meet: Callable[[list, list, Pages], list] = _folded) -> None:
+    """Elements into a group: those it has meet. If the elements are another page's, what only one side has is optional."""
+    at = {x[LABEL]: k for k, x in enumerate(group[INNER])}
+    given = set()
+    for e in elements:
+        given.add(e[LABEL])
+        if e[LABEL] in at:
+            k = at[e[LABEL]]
+            group[INNER][k] = meet(group[INNER][k], e, pages)
+        else:
+            at[e[LABEL]] = len(group[INNER])
+            group[INNER].append([e[LABEL], True, *e[2:]])
+    if meet is _merge:
+        group[INNER] = [x if x[LABEL] in given else [x[LABEL], True, *x[2:]] for x in group[INNER]]
+    group[PAGES] = max(x[PAGES] for x in group[INNER])
+
+
+def _grouped(elements: list) -> list:
+    return [GROUP, False, True, None, 0, elements, max(e[PAGES] for e in elements), 0, []]
+
+
+def _tighten(elements: list, pages: Pages) -> list:
+    """The sequence with equal neighbours, repeats of several elements and what belongs to a group beside it folded."""
+    out: list = []
+    for e in elements:
+        if e[LABEL] == GROUP:
+            inner = _labels(e)
+            while out and (out[-1][LABEL] in inner or out[-1][LABEL] == GROUP and _labels(out[-1]) & inner):
+                last = out.pop()
+                e = [GROUP, e[OPTIONAL] and last[OPTIONAL], *e[2:INNER], list(e[INNER]), *e[PAGES:]]
+                _into(e, last[INNER] if last[LABEL] == GROUP else [last], pages)
+            out.append(e)
+            continue
+        if out and out[-1][LABEL] == e[LABEL]:
+            out[-1] = _folded(out[-1], e, pages)
+            out[-1][REPEATED] = True
+        elif out and out[-1][LABEL] == GROUP and e[LABEL] in _labels(out[-1]):
+            out[-1] = [*out[-1][:INNER], list(out[-1][INNER]), *out[-1][PAGES:]]
+            _into(out[-1], [e], pages)
+        else:
+            out.append(e)
+        for n in range(2, min(LONGEST, len(out) // 2) + 1):
+            if out[-1][LABEL] != out[-1 - n][LABEL]:
+                continue
+            again, before = out[-n:], out[-2 * n : -n]
+            if [x[LABEL] for x in again] == [x[LABEL] for x in before] and not any(x[LABEL] == GROUP for x in again):
+                out[-2 * n :] = [_grouped([_folded(x, y, pages) for x, y in zip(before, again)])]
+                break
+    if len(out) > WIDEST:
+        group = [GROUP, False, True, None, 0, [], 0, 0, []]
+        for e in out:
+            _into(group, e[INNER] if e[LABEL] == GROUP else [e], pages)
+        if len(group[INNER]) > WIDEST:  # too many names: told apart by their tags only
+            plain: dict[str, list] = {}
+            for e in group[INNER]:
+                tag = _split(e[LABEL])[0]
+                plain[tag] = _merge(plain[tag], [tag, *e[1:]], pages) if tag in plain else [tag, *e[1:]]
+            group[INNER] = list(plain.values())
+        group[INNER] = [[x[LABEL], True, *x[2:]] for x in group[INNER]]
+        out = [group]
+    return out
 
-def align(a: list, b: list, pages: Callable[[int, int], int] = operator.add) -> tuple[list, list]:
-    """The least sequence of elements that matches both: common subsequence, the rest optional.
+
+def _key(e: list) -> str:
+    return e[LABEL] if e[LABEL] != GROUP else GROUP + e[INNER][0][LABEL]
+
+
+def _wrapped(elements: list, other: list, pages: Pages) -> list:
+    """The sequence with runs that the other one has as a group made such a group, once round."""
+    groups = [(e[INNER][0][LABEL], _labels(e)) for e in other if e[LABEL] == GROUP]
+    if not groups:
+        return elements
+    plain = {e[LABEL] for e in other}
+    out, k = [], 0
+    while k < len(elements):
+        for first, labels in groups:
+            upto = k
+            while upto < len(elements) and elements[upto][LABEL] in labels:
+                upto += 1
+            run = elements[k:upto]
+            if len(mine := {e[LABEL] for e in run}) > 1 or run and not mine & plain:
+                group = [GROUP, all(e[OPTIONAL] for e in run), True, None, 0, [], 0, 0, []]
+                # The group's first label stands first here too, for groups meet by it.
+                if first not in mine:
+                    group[INNER].append([first, True, False, None, 0, [], 0, 0, []])
+                for e in sorted(run, key=lambda e: e[LABEL] != first):
+                    _into(group, [e], pages)
+                    if not e[OPTIONAL]:
+                        group[INNER] = [[x[LABEL], x[OPTIONAL] and x[LABEL] != e[LABEL], *x[2:]] for x in group[INNER]]
+                out.append(group)
+                k = upto
+                break
+        else:
+            out.append(elements[k])
+            k += 1
+    return out
+
+
+def align(a: list, b: list, pages: Pages = operator.add) -> tuple[list, list]:
+    """The least sequence of elements that matches both: common subsequence, the rest optional, folded.
 
     Also the elements that met, each with the two sequences that are to be aligned within it.
     """
-    if [x[0] for x in a] == [x[0] for x in b]:
-        out = [_met(x, y, pages) for x, y in zip(a, b)]
-        return out, [(e, x[5], y[5]) for e, x, y in zip(out, a, b)]
-    n, m = len(a), len(b)
+    a, b = _wrapped(a, b, pages), _wrapped(b, a, pages)
+    x, y = [_key(e) for e in a], [_key(e) for e in b]
+    if x == y and GROUP not in {e[LABEL] for e in a}:
+        out = [_met(p, q, pages) for p, q in zip(a, b)]
+        return out, [(e, p[INNER], q[INNER]) for e, p, q in zip(out, a, b)]
+    head = 0
+    while head < min(len(x), len(y)) and x[head] == y[head]:
+        head += 1
+    tail = 0
+    while tail < min(len(x), len(y)) - head and x[-1 - tail] == y[-1 - tail]:
+        tail += 1
+    n, m = len(x) - head - tail, len(y) - head - tail
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
-    out, below, i, j = [], [], 0, 0
-    while i < n or j < m:
-        if i < n and j < m and a[i][0] == b[j][0]:
-            out.append(_met(a[i], b[j], pages))
-            below.append((out[-1], a[i][5], b[j][5]))
+            best[i][j] = best[i + 1][j + 1] + 1 if x[head + i] == y[head + j] else max(best[i + 1][j], best[i][j + 1])
+    out, i, j, alone = [], 0, 0, False
+    while i < len(a) or j < len(b):
+        inside = head <= i < head + n or head <= j < head + m
+        if i < len(a) and j < len(b) and x[i] == y[j] and (not inside or (i < head + n and j < head + m)):
+            out.append(_both(a[i], b[j], pages))
             i, j = i + 1, j + 1
-        elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
-            out.append([a[i][0], True, *a[i][2:]])
+        elif j >= head + m or i < head + n and best[i + 1 - head][j - head] >= best[i - head][j + 1 - head]:
+            out.append([a[i][LABEL], True, *a[i][2:]])
+            alone = True
             i += 1
         else:
-            out.append([b[j][0], True, *b[j][2:]])
+            out.append([b[j][LABEL], True, *b[j][2:]])
+            alone = True
             j += 1
-    return out, below
+    return (_tighten(out, pages) if alone else out), []
+
+
+def _both(a: list, b: list, pages: Pages) -> list:
+    if a[LABEL] != GROUP:
+        return _merge(a, b, pages)
+    out = [GROUP, a[OPTIONAL] or b[OPTIONAL], True, None, 0, list(a[INNER]), 0, 0, []]
+    _into(out, b[INNER], pages, _merge)
+    return out
 
 
 def infer(pages: Iterator[str]) -> list:
@@ -246,11 +450,28 @@ def infer(pages: Iterator[str]) -> list:
 
 
 def combine(a: list, b: list) -> list:
-    return [a[0] + b[0], _merge(a[1], b[1])]
+    return _bounded([a[0] + b[0], _merge(a[1], b[1])])
+
+
+def _bounded(wrapper: list) -> list:
+    """The wrapper without what fewest pages have, if it has more than MOST elements."""
+    order = [wrapper[1]]
+    for e in order:
+        order += e[INNER]
+    if len(order) <= MOST:
+        return wrapper
+    # A child isn't on more pages than what holds it, but groups count loosely: keep a child only with its parent.
+    least = sorted((e[PAGES] for e in order), reverse=True)[MOST // 2]
+    open_ = [wrapper[1]]
+    while open_:
+        e = open_.pop()
+        e[INNER] = [x for x in e[INNER] if x[PAGES] > least]
+        open_ += e[INNER]
+    return wrapper
 
 
 def _split(name: str) -> tuple[str, str]:
-    tag, _, names = name.partition(".")
+    tag, _, names = name.partition("#")[0].partition(".")
     return tag, names
 
 
@@ -259,8 +480,8 @@ def dump(wrapper: list) -> str:
     flat, open_ = [], [wrapper[1]]
     while open_:
         e = open_.pop()
-        flat.append([*e[:5], len(e[5]), *e[6:]])
-        open_ += reversed(e[5])
+        flat.append([*e[:INNER], len(e[INNER]), *e[INNER + 1 :]])
+        open_ += reversed(e[INNER])
     return json.dumps([wrapper[0], flat])
 
 
@@ -268,11 +489,11 @@ def load(said: str) -> list:
     pages, flat = json.loads(said)
     above: list[tuple[list, int]] = []
     for e in flat:
-        holds, e[5] = e[5], []
-        while above and len(above[-1][0][5]) == above[-1][1]:
+        holds, e[INNER] = e[INNER], []
+        while above and len(above[-1][0][INNER]) == above[-1][1]:
             above.pop()
         if above:
-            above[-1][0][5].append(e)
+            above[-1][0][INNER].append(e)
         above.append((e, holds))
     return [pages, flat[0]]
 
@@ -281,36 +502,67 @@ def _has_main(e: list) -> bool:
     open_ = [e]
     while open_:
         e = open_.pop()
-        tag = _split(e[0])[0]
+        tag = _split(e[LABEL])[0]
         if tag in MAIN:
             return True
-        if tag not in SKIPPED:
-            open_ += e[5]
+        if tag not in SKIPPED or tag == "form":
+            open_ += e[INNER]
     return False
 
 
 def _out(e: list, level: int) -> bool:
-    tag, names = _split(e[0])
-    return tag in SKIPPED or level < TAGS and worded(tag, names) and not (level == HOLDING and _has_main(e))
+    tag, names = _split(e[LABEL])
+    if tag == "form":
+        return not level & FORMS and not _has_main(e)
+    return tag in SKIPPED or level & 3 < TAGS and worded(tag, names) and not (level & 3 == HOLDING and _has_main(e))
 
 
-def _masses(wrapper: list, level: int) -> dict[int, int]:
-    """Characters of each element with those in it, by its identity; 0 for what is left out."""
+def _different(texts: list[int], seen: int) -> float:
+    """How many different texts there are for each time one was seen."""
+    distinct = len(texts) if len(texts) < KEPT else (KEPT - 1) / ((texts[-1] + 1) / (1 << 52))
+    return min(1.0, distinct / seen)
+
+
+def template(wrapper: list) -> set[int]:
+    """The elements, by identity, whose slots take few texts beside what the host's best slots take.
+
+    Elements of one label in one element are judged together, for an advert may stand in several places.
+    """
+    told: list[tuple[float, int, list]] = []
+    order = [wrapper[1]]
+    for e in order:
+        alike: dict[str, list] = {}
+        for x in _flat(e[INNER]):
+            order.append(x)
+            if x[SEEN]:
+                alike.setdefault(x[LABEL], []).append(x)
+        for all_ in alike.values():
+            seen = sum(x[SEEN] for x in all_)
+            if seen >= SEVERAL:
+                texts = sorted({t for x in all_ for t in x[TEXTS]})[:KEPT]
+                told.append((_different(texts, seen), sum(x[SIZE] for x in all_), all_))
+    whole = sum(size for _, size, _ in told)
+    best = max((d for d, size, _ in told if 20 * size >= whole), default=1.0)
+    return {id(x) for d, _, all_ in told if d <= FEW * best for x in all_}
+
+
+def _masses(wrapper: list, level: int, constant: set[int]) -> dict[int, int]:
+    """Characters of each element with those in it, by its identity; 0 for what is left out, the template's uncounted."""
     order, left = [wrapper[1]], set()
     for e in order:
         if _out(e, level):
             left.add(id(e))
         else:
-            order += e[5]
+            order += e[INNER]
     mass: dict[int, int] = {}
     for e in reversed(order):
-        mass[id(e)] = 0 if id(e) in left else e[4] + sum(mass[id(x)] for x in e[5])
+        mass[id(e)] = 0 if id(e) in left else (0 if id(e) in constant else e[SIZE]) + sum(mass[id(x)] for x in e[INNER])
     return mass
 
 
 def _named(wrapper: list, level: int) -> tuple[list[tuple[int, int, str]], list[str]]:
     """(characters, depth, tag) of the elements with text that are named for the main text; the path to the first of the largest."""
-    mass = _masses(wrapper, level)
+    mass = _masses(wrapper, level, set())
     found: list[tuple[int, int, str]] = []
     path: list[str] = []
     best: list[str] = []
@@ -321,13 +573,25 @@ def _named(wrapper: list, level: int) -> tuple[list[tuple[int, int, str]], list[
         if _out(e, level):
             continue
         del path[depth - 1 :]
-        path.append(e[0])
-        if (tag := _split(e[0])[0]) in MAIN and mass[id(e)]:
+        path.append(e[LABEL])
+        if (tag := _split(e[LABEL])[0]) in MAIN and mass[id(e)]:
             found.append((mass[id(e)], depth, tag))
             if found[-1][:2] > most:
                 most, best = found[-1][:2], path[:]
-        open_ += [(x, depth + 1) for x in reversed(e[5])]
-    return found, best
+        open_ += [(x, depth + 1) for x in reversed(e[INNER])]
+    return found, [p for p in best if p != GROUP]
+
+
+def _heads(e: list, mass: dict[int, int]) -> bool:
+    """Whether an element is, or holds, a heading with text that counts."""
+    open_ = [e]
+    while open_:
+        e = open_.pop()
+        if mass.get(id(e), 0):
+            if _split(e[LABEL])[0] in ("h1", "h2", "h3"):
+                return True
+            open_ += e[INNER]
+    return False
 
 
 def main_path(wrapper: list, level: int | None = None) -> tuple[list[str], bool, int]:
@@ -339,48 +603,93 @@ def main_path(wrapper: list, level: int | None = None) -> tuple[list[str], bool,
             level = HOLDING
     if best := _named(wrapper, level)[1]:
         return best, True, level
-    mass = _masses(wrapper, level)
-    e, path = wrapper[1], [wrapper[1][0]]
-    while e[5]:
-        below = max(e[5], key=lambda x: mass.get(id(x), 0))
-        if mass.get(id(below), 0) <= 0.6 * mass[id(e)] or _split(below[0])[0] in ("p", "li", "ul", "ol", "table", "blockquote", "pre"):
+    mass = _masses(wrapper, level, set())
+    if not mass[id(wrapper[1])]:
+        level |= FORMS
+    constant = template(wrapper)
+    mass = _masses(wrapper, level, constant)
+    if not mass[id(wrapper[1])]:
+        mass = _masses(wrapper, level, set())
+    e, path = wrapper[1], [wrapper[1][LABEL]]
+    while e[INNER]:
+        below = max(e[INNER], key=lambda x: mass.get(id(x), 0))
+        here = mass.get(id(below), 0)
+        if here <= 0.6 * mass[id(e)] or below[LABEL] != GROUP and (not below[INNER] or _split(below[LABEL])[0] in ("p", "li", "ul", "ol", "table", "blockquote", "pre")):
+            break
+        if below[LABEL] == GROUP or any(x is not below and _heads(x, mass) for x in e[INNER]):
             break
         e = below
-        path.append(e[0])
+        path.append(e[LABEL])
     return path, False, level
 
 
-def _constant(wrapper: list, path: list[str]) -> set[str]:
-    """Texts under the path that never vary, on all of several pages, while another slot there takes several texts."""
-    here = [wrapper[1]]
+def _find(root: Node, path: list[str]) -> list[Node]:
+    here = [root]
     for name in path[1:]:
-        here = [x for e in here for x in e[5] if x[0] == name]
-    pages = max((e[6] for e in here), default=0)
-    if pages < SEVERAL:
-        return set()
-    out: set[str] = set()
-    most = 0
-
-    open_ = here[:]
+        here = [c for n in here for c in _elements(n) if label(c) == name]
+    return here
+
+
+def _elements(node: Node) -> Iterator[Node]:
+    """The elements in a node, those in phrasing ones in their place."""
+    open_ = [iter(node.children)]
     while open_:
-        e = open_.pop()
-        most = max(most, len(e[8]))
-        if isinstance(e[3], str) and e[7] == pages and not e[1] and not e[2]:
-            out.add(e[3])
-        open_ += e[5]
-    # Copies of a page don't tell what is constant: their main texts are equal.
-    return out if most >= SEVERAL else set()
+        c = next(open_[-1], None)
+        if c is None:
+            open_.pop()
+        elif isinstance(c, Node):
+            if c.tag in PHRASING:
+                open_.append(iter(c.children))
+            else:
+                yield c
 
 
-def _find(root: Node, path: list[str]) -> list[Node]:
-    here = [root]
+def _at(wrapper: list, path: list[str]) -> list | None:
+    """The wrapper's element at a path of labels; groups have no label in it."""
+    here = [wrapper[1]]
     for name in path[1:]:
-        here = [c for n in here for c in n.children if isinstance(c, Node) and label(c) == name]
-    return here
+        here = [x for e in here for x in _flat(e[INNER]) if x[LABEL] == name]
+    return here[0] if here else None
+
+
+def _flat(elements: list) -> Iterator[list]:
+    for e in elements:
+        if e[LABEL] == GROUP:
+            yield from e[INNER]
+        else:
+            yield e
+
+
+class _Match:
+    """Goes through a wrapper's sequence as a page's elements come by, and says which element each one is."""
+
+    __slots__ = ("elements", "at", "by_group")
+
+    def __init__(self, element: list | None):
+        self.elements, self.at = element[INNER] if element else [], 0
+
+    def next(self, node: Node) -> list | None:
+        for name in {label(node): 0, node.tag: 1}:
+            # From where the last one was, for it may be repeated; else from the start, for groups fold what lay apart.
+            for places in (range(self.at, len(self.elements)), range(self.at)):
+                for k in places:
+                    e = self.elements[k]
+                    if e[LABEL] == name:
+                        self.at = k
+                        return e
+                    if e[LABEL] == GROUP:
+                        for x in e[INNER]:
+                            if x[LABEL] == name:
+                                self.at = k
+                                return x
+        return None
 
 
-def blocks(node: Node, level: int = STRICT) -> list[str]:
-    """Texts of the blocks under a node, references decoded, white space made one blank."""
+def blocks(node: Node, level: int = STRICT, element: list | None = None, constant: set[int] = frozenset()) -> list[str]:
+    """Texts of the blocks under a node, references decoded, white space made one blank.
+
+    element: the wrapper's element that the node is; constant: of its elements, those whose own text is left out.
+    """
     out: list[str] = []
     held: list[str] = []
 
@@ -389,32 +698,48 @@ def blocks(node: Node, level: int = STRICT) -> list[str]:
             out.append(t)
         held.clear()
 
-    stack: list = [iter(node.children)]
-    ends: list[bool] = [True]
+    # (children to come, whether a block ends with them, the elements they are among, whether text in them counts)
+    stack: list = [(iter(node.children), True, _Match(element), id(element) not in constant)]
     while stack:
-        c = next(stack[-1], None)
+        children, ends, match, counts = stack[-1]
+        c = next(children, None)
         if c is None:
             stack.pop()
-            if ends.pop():
+            if ends:
                 flush()
         elif isinstance(c, str):
-            held.append(c)
-        elif not _skipped(c, level):
-            if block := c.tag in BLOCKS:
+            if counts:
+                held.append(c)
+        elif c.tag in PHRASING:
+            if c.tag in BLOCKS:
                 flush()
-            stack.append(iter(c.children))
-            ends.append(block)
+            if not _skipped(c, level):
+                stack.append((iter(c.children), c.tag in BLOCKS, match, counts))
+        else:
+            e = match.next(c) if constant else None
+            if not _skipped(c, level):
+                if block := c.tag in BLOCKS:
+                    flush()
+                stack.append((iter(c.children), block, _Match(e) if constant else match, id(e) not in constant))
     return out
 
 
+def plan_of(wrapper: list) -> tuple:
+    """What extraction needs of a wrapper: the path to the main text, whether it is named, the level, its element and what is the template's."""
+    path, named, level = main_path(wrapper)
+    element = None if named else _at(wrapper, path)
+    return path, named, level, element, frozenset() if element is None else frozenset(template(wrapper))
+
+
 def extract(page: str, wrapper: list | None, plan: tuple | None = None) -> str:
     root = parse(page)
-    path, named, level, constant = plan or (*main_path(wrapper or [1, _generalise(root)]), set())
-    found = [b for n in _find(root, path) for b in blocks(n, level)]
-    if constant and not named:
-        found = [b for b in found if _hashed(b) not in constant] or found
+    path, _, level, element, constant = plan or plan_of(wrapper or [1, _generalise(root)])
+    places = _find(root, path)
+    found = [b for n in places for b in blocks(n, level, element, constant)]
+    if not found and constant:
+        found = [b for n in places for b in blocks(n, level)]
     own = None if found else [1, _generalise(root)]
-    for again in (None, TAGS):
+    for again in (None, TAGS, TAGS | FORMS):
         if not found:
             path, _, level = main_path(own, again)
             found = [b for n in _find(root, path) for b in blocks(n, level)]
@@ -462,9 +787,7 @@ def extract_main(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                 if said not in plans:
                     if len(plans) > 1000:
                         plans.clear()
-                    w = load(said)
-                    path, *how = main_path(w)
-                    plans[said] = (path, *how, _constant(w, path))
+                    plans[said] = plan_of(load(said))
                 texts.append(extract(page, None, plans[said]))
             yield pa.RecordBatch.from_arrays([rb.column("page_id"), rb.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
