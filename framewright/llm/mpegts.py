@@ -3,7 +3,7 @@
 ``mux`` stores a payload as one private elementary stream: a program association table, a program map table, and access
 units of ACCESS_UNIT bytes as elementary packets with 90 kHz timestamps, cut into 188-byte packets; every RANDOM_EVERY-th
 unit starts with the random-access flag and a clock reference. ``demux`` is a parser for any such stream: it reads the
-tables (with their checksums), checks each PID's continuity counter (one repeat and flagged discontinuities are legal),
+tables (with their checksums; a section may go over several packets), checks each PID's continuity counter (one repeat and flagged discontinuities are legal),
 puts elementary packets together and gives timestamps and random-access points.
 
 Null and empty texts are a payload of 64 zero bytes. Broken streams don't raise: bytes outside packets, wrong counters,
@@ -90,18 +90,50 @@ def mux(payload: bytes) -> bytes:
     return b"".join(out)
 
 
-def _sections(data: bytes) -> Iterator[bytes]:
-    i = 1 + data[0] if data else 0
-    while i + 3 <= len(data) and data[i] != 0xFF:
-        size = 3 + (int.from_bytes(data[i + 1 : i + 3], "big") & 0xFFF)
-        yield data[i : i + size]
-        i += size
+class _Sections:
+    """Puts the sections of one PID together; one may begin anywhere in a packet and go on over several."""
+
+    def __init__(self):
+        self.held: bytearray | None = None
+
+    def drop(self) -> bool:
+        """Forget what is unfinished; whether there was such."""
+        held, self.held = self.held, None
+        return bool(held)
+
+    def feed(self, body: bytes, starts: bool) -> tuple[list[bytes], bool]:
+        """(finished sections, whether one was cut short by the next one's start)."""
+        out, cut = [], False
+        if starts and body:
+            pointer = 1 + body[0]
+            if self.held is not None:
+                self.held += body[1:pointer]
+                out += self._finished()
+                cut = self.drop()
+            self.held = bytearray(body[pointer:])
+        elif self.held is not None:
+            self.held += body
+        return out + self._finished(), cut
+
+    def _finished(self) -> list[bytes]:
+        out = []
+        while self.held:
+            if self.held[0] == 0xFF:  # stuffing up to the packet's end
+                self.held = None
+            elif len(self.held) < 3 or len(self.held) < (size := 3 + (int.from_bytes(self.held[1:3], "big") & 0xFFF)):
+                break
+            else:
+                out.append(bytes(self.held[:size]))
+                del self.held[:size]
+        if self.held is not None and not self.held:
+            self.held = None
+        return out
 
 
 def demux(media: bytes) -> dict:
     """streams: for each elementary PID its type, payload, pts list, random-access unit numbers; and counts of faults."""
     found = {"packets": 0, "lost_bytes": 0, "counter_errors": 0, "table_errors": 0, "unit_errors": 0, "programs": {}, "streams": {}}
-    pmts, last, open_units, streams = {}, {}, {}, found["streams"]
+    pmts, last, open_units, tables, streams = {}, {}, {}, {}, found["streams"]
 
     def close(pid: int) -> None:
         parts, random = open_units.pop(pid)
@@ -146,9 +178,12 @@ def demux(media: bytes) -> dict:
                     continue
                 if counter != was[0] + 1 & 15:
                     found["counter_errors"] += 1
+                    found["table_errors"] += pid in tables and tables[pid].drop()
             last[pid] = (counter, False)
         if pid == 0 or pid in pmts:
-            for s in _sections(body) if b1 & 0x40 else ():
+            sections, cut = tables.setdefault(pid, _Sections()).feed(body, bool(b1 & 0x40))
+            found["table_errors"] += cut
+            for s in sections:
                 if len(s) < 12 or crc_mpeg(s):
                     found["table_errors"] += 1
                 elif pid == 0 and s[0] == 0:
@@ -173,6 +208,7 @@ def demux(media: bytes) -> dict:
                 found["unit_errors"] += 1
     for pid in list(open_units):
         close(pid)
+    found["table_errors"] += sum(t.drop() for t in tables.values())
     for stream in streams.values():
         stream["payload"] = b"".join(stream.pop("parts"))
     return found

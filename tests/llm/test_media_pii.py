@@ -131,3 +131,47 @@ def test_pii_query(docs_of, odd_rows):
     red = pii.redact_column(docs_of(rows))
     assert red.columns == docs_of(rows).columns and {r.text for r in red.where("doc_id = 9").collect()} == {"mail [EMAIL] and [PHONE]"}
     assert red.where("doc_id = 1").first().text is None
+
+
+def packets(pid, data, counter=0):
+    """A section's packets: the pointer, then what fits, stuffed at the end."""
+    data, out = b"\0" + data, []
+    for k in range(0, len(data), 184):
+        out.append((bytes([0x47, (0x40 if not k else 0) | pid >> 8, pid & 255, 0x10 | (counter + k // 184) & 15]) + data[k : k + 184]).ljust(188, b"\xff"))
+    return out
+
+
+def big_map(streams=60):
+    body = b"\xe1\x00\xf0\x00" + b"".join(bytes([6]) + (0xE000 | 0x200 + k).to_bytes(2, "big") + b"\xf0\x00" for k in range(streams))
+    pat = mpegts._section(0, 1, (1).to_bytes(2, "big") + (0xE000 | 0x1000).to_bytes(2, "big"))
+    return packets(0, pat), packets(0x1000, mpegts._section(2, 1, body))
+
+
+def test_program_tables_over_several_packets():
+    pat, pmt = big_map()
+    assert len(pmt) == 2
+    found = mpegts.demux(b"".join([*pat, *pmt]))
+    assert len(found["streams"]) == 60 and found["table_errors"] == 0 and found["programs"] == {1: [0x200 + k for k in range(60)]}
+    # A packet of it lost, other PIDs between, and a table cut by the stream's end.
+    assert mpegts.demux(b"".join([*pat, pmt[0]]))["table_errors"] == 1
+    between = mpegts.mux(bytes(64))[376:]
+    assert len(mpegts.demux(b"".join([*pat, pmt[0], between, pmt[1]]))["streams"]) == 60
+    again = [p[:3] + bytes([0x10 | (3 + k)]) + p[4:] for k, p in enumerate(pmt)]
+    found = mpegts.demux(b"".join([*pat, pmt[0], *again]))
+    assert len(found["streams"]) == 60 and found["table_errors"] == 1 and found["counter_errors"] == 1
+
+
+def test_sections_that_begin_within_a_packet():
+    pat, _ = big_map()
+    two = mpegts._section(2, 1, b"\xe1\x00\xf0\x00" + b"\x06\xe2\x00\xf0\x00" * 10), mpegts._section(2, 1, b"\xe1\x00\xf0\x00" + b"\x1b\xe3\x00\xf0\x00" * 25)
+    data = two[0] + two[1]
+    first = bytes([0x47, 0x50, 0x00, 0x10]) + (b"\0" + data)[:184]
+    second = (bytes([0x47, 0x50 - 0x40, 0x00, 0x11]) + data[183:]).ljust(188, b"\xff")
+    found = mpegts.demux(b"".join([*pat, first, second]))
+    assert set(found["streams"]) == {0x200, 0x300} and found["table_errors"] == 0
+    # The second section's start is told by a pointer into its packet.
+    pad_to = 183 - len(two[0])
+    first = bytes([0x47, 0x50, 0x00, 0x10]) + (b"\0" + two[0] + two[1][:pad_to])
+    second = (bytes([0x47, 0x50, 0x00, 0x11, len(two[1]) - pad_to]) + two[1][pad_to:] + two[0]).ljust(188, b"\xff")
+    found = mpegts.demux(b"".join([*pat, first, second]))
+    assert set(found["streams"]) == {0x200, 0x300} and found["table_errors"] == 0
