@@ -19,7 +19,8 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import common
 
@@ -131,12 +132,15 @@ class _Sections:
 
 
 def demux(media: bytes) -> dict:
-    """streams: for each elementary PID its type, payload, pts list, random-access unit numbers; and counts of faults."""
+    """streams: for each elementary PID its type, payload, pts list, random-access unit numbers and units; and counts of faults.
+
+    A unit is its timestamp, whether it is a random-access point, the place of its first packet and its bytes.
+    """
     found = {"packets": 0, "lost_bytes": 0, "counter_errors": 0, "table_errors": 0, "unit_errors": 0, "programs": {}, "streams": {}}
     pmts, last, open_units, tables, streams = {}, {}, {}, {}, found["streams"]
 
     def close(pid: int) -> None:
-        parts, random = open_units.pop(pid)
+        parts, random, packet = open_units.pop(pid)
         data, stream = b"".join(parts), streams[pid]
         if len(data) < 9 or data[:3] != b"\x00\x00\x01":
             found["unit_errors"] += 1
@@ -149,6 +153,7 @@ def demux(media: bytes) -> dict:
         p = data[9:14]
         stream["pts"].append((p[0] >> 1 & 7) << 30 | p[1] << 22 | p[2] >> 1 << 15 | p[3] << 7 | p[4] >> 1 if data[7] & 0x80 and len(p) == 5 else None)
         stream["parts"].append(data[head : size + 6 if size else None])
+        stream["units"].append({"pts": stream["pts"][-1], "random": random, "at": packet, "size": len(stream["parts"][-1])})
 
     i, n = 0, len(media)
     while i < n:
@@ -194,14 +199,14 @@ def demux(media: bytes) -> dict:
                     k = 12 + (int.from_bytes(s[10:12], "big") & 0xFFF)
                     while k + 5 <= len(s) - 4:
                         es = int.from_bytes(s[k + 1 : k + 3], "big") & 0x1FFF
-                        streams.setdefault(es, {"type": s[k], "program": pmts[pid], "parts": [], "pts": [], "random_access": []})
+                        streams.setdefault(es, {"type": s[k], "program": pmts[pid], "parts": [], "pts": [], "random_access": [], "units": []})
                         found["programs"].setdefault(pmts[pid], []) if es in found["programs"].get(pmts[pid], []) else found["programs"].setdefault(pmts[pid], []).append(es)
                         k += 5 + (int.from_bytes(s[k + 3 : k + 5], "big") & 0xFFF)
         elif pid in streams:
             if b1 & 0x40:
                 if pid in open_units:
                     close(pid)
-                open_units[pid] = ([body], bool(flags & 0x40))
+                open_units[pid] = ([body], bool(flags & 0x40), i - PACKET)
             elif pid in open_units:
                 open_units[pid][0].append(body)
             elif body:
@@ -214,6 +219,31 @@ def demux(media: bytes) -> dict:
     return found
 
 
+def unit_at(media: bytes, place: int, pid: int) -> bytes:
+    """The payload of the unit whose first packet is at a place: its packets are read, up to the next unit's, and nothing else."""
+    parts, at = [], place
+    while at + PACKET <= len(media) and media[at] == SYNC:
+        packet = media[at : at + PACKET]
+        if (packet[1] & 31) << 8 | packet[2] == pid and packet[3] & 0x10:
+            if packet[1] & 0x40 and parts:
+                break
+            parts.append(packet[5 + packet[4] :] if packet[3] & 0x20 else packet[4:])
+        at += PACKET
+    data = b"".join(parts)
+    size = int.from_bytes(data[4:6], "big")
+    return data[9 + data[8] : size + 6 if size else None]
+
+
+def seek(read: DataFrame, ticks: Column) -> DataFrame:
+    """doc_id, pts, place and first_unit of each row's last random-access point at or before a time (90 kHz); none is null.
+
+    read: rows of ``read_media``; only their units are looked at.
+    """
+    points = F.filter(F.transform("units", lambda u, k: F.struct(u["pts"].alias("pts"), u["at"].alias("at"), k.alias("k"), u["random"].alias("r"))), lambda u: u["r"] & (u["pts"] <= ticks))
+    best = F.array_max(points)
+    return read.select("doc_id", best["pts"].alias("pts"), best["at"].alias("place"), best["k"].alias("first_unit"))
+
+
 def to_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, media): the text's UTF-8 bytes, padded, as a transport stream."""
 
@@ -235,18 +265,20 @@ def feature(found: dict) -> str:
 
 
 def read_media(df: DataFrame) -> DataFrame:
-    """Digests and features of (doc_id, n_bytes, media) rows; the payload is that of the lowest elementary PID."""
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    """Digests, features and units of (doc_id, n_bytes, media) rows; payload and units are those of the lowest elementary PID."""
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, units array<struct<pts: long, random: boolean, at: long, size: long>>"
+    units = pa.list_(pa.struct([("pts", pa.int64()), ("random", pa.bool_()), ("at", pa.int64()), ("size", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "media"):
             rows = []
             for media in batch.column("media").to_pylist():
                 found = demux(media)
-                payload = found["streams"][min(found["streams"])]["payload"] if found["streams"] else b""
-                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature(found)))
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *columns], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+                first = found["streams"][min(found["streams"])] if found["streams"] else {"payload": b"", "units": []}
+                payload = first["payload"]
+                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature(found), first["units"]))
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), units))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *columns], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "units"])
 
     return df.select("doc_id", "n_bytes", "media").mapInArrow(run, schema)
 

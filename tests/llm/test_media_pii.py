@@ -175,3 +175,19 @@ def test_sections_that_begin_within_a_packet():
     second = (bytes([0x47, 0x50, 0x00, 0x11, len(two[1]) - pad_to]) + two[1][pad_to:] + two[0]).ljust(188, b"\xff")
     found = mpegts.demux(b"".join([*pat, first, second]))
     assert set(found["streams"]) == {0x200, 0x300} and found["table_errors"] == 0
+
+
+def test_a_unit_is_found_by_time(spark):
+    from pyspark.sql import functions as F
+
+    payload = bytes(range(256)) * 400
+    media = mpegts.mux(payload)
+    df = spark.createDataFrame([(1, len(payload), media), (2, 64, mpegts.mux(bytes(64)))], "doc_id long, n_bytes long, media binary")
+    read = mpegts.read_media(df)
+    units = {r.doc_id: r.units for r in read.collect()}
+    assert [u.size for u in units[1]] == [8192] * 12 + [4096] and [u.random for u in units[1]] == [k % 4 == 0 for k in range(13)]
+    got = {r.doc_id: r for r in mpegts.seek(read, F.lit(7 * mpegts.UNIT_TICKS + 5)).collect()}
+    assert (got[1].first_unit, got[1].pts, got[2].first_unit) == (4, 4 * mpegts.UNIT_TICKS, 0)
+    assert mpegts.unit_at(media, got[1].place, 0x100) == payload[4 * 8192 : 5 * 8192]
+    assert [mpegts.unit_at(media, u.at, 0x100) for u in units[1]] == [payload[k : k + 8192] for k in range(0, len(payload), 8192)]
+    assert mpegts.seek(read, F.lit(-1)).where("place is not null").count() == 0
