@@ -1,7 +1,8 @@
 """Rotations and rigid poses as Column expressions.
 
 A vector or matrix is an array<double> column: positions of 3, quaternions x, y, z, w, 3x3 matrices of 9 by rows. All is
-computed in double inside code generation; sinks cast to float. Values at the edge of a domain (arc sine just beyond 1)
+computed in double; sinks cast to float. What is a sum of products is one array of scalar expressions, which the planner
+compiles and whose common parts it computes once; ``bind`` keeps longer chains small, at the price of an interpreted step. Values at the edge of a domain (arc sine just beyond 1)
 are clamped; a zero-length basis vector of a 6-D rotation, or a zero quaternion, gives NULL.
 """
 
@@ -70,16 +71,37 @@ def _clamp(x: Column) -> Column:
     return F.greatest(F.least(x, F.lit(1.0)), F.lit(-1.0))
 
 
+def _elementary(axis: str, angle: Column) -> list[list]:
+    """Rotation about one axis: entries are columns, or the numbers 0 and 1."""
+    c, s = F.cos(angle), F.sin(angle)
+    return {"X": [[1, 0, 0], [0, c, -s], [0, s, c]], "Y": [[c, 0, s], [0, 1, 0], [-s, 0, c]], "Z": [[c, -s, 0], [s, c, 0], [0, 0, 1]]}[axis]
+
+
+def _product(a: list[list], b: list[list]) -> list[list]:
+    """Without the terms that are 0 and the factors that are 1."""
+
+    def entry(i: int, j: int):
+        out = None
+        for k in range(3):
+            x, y = a[i][k], b[k][j]
+            if isinstance(x, int) and x == 0 or isinstance(y, int) and y == 0:
+                continue
+            term = y if isinstance(x, int) else x if isinstance(y, int) else x * y
+            out = term if out is None else out + term
+        return 0 if out is None else out
+
+    return [[entry(i, j) for j in range(3)] for i in range(3)]
+
+
 def elementary(axis: str, angle: Column) -> Column:
     """Rotation about one axis."""
-    c, s = F.cos(angle), F.sin(angle)
-    return vec({"X": (1, 0, 0, 0, c, -s, 0, s, c), "Y": (c, 0, s, 0, 1, 0, -s, 0, c), "Z": (c, -s, 0, s, c, 0, 0, 0, 1)}[axis])
+    return vec(x for row in _elementary(axis, angle) for x in row)
 
 
 def euler_to_matrix(angles: Column, convention: str = "XYZ") -> Column:
     """Intrinsic rotation about the three axes in turn."""
-    a, b, c = (elementary(axis, angle) for axis, angle in zip(convention, parts(angles, 3)))
-    return bind(a, lambda x: bind(matmul(x, b), lambda xy: matmul(xy, c)))
+    a, b, c = (_elementary(axis, angle) for axis, angle in zip(convention, parts(angles, 3)))
+    return vec(x for row in _product(_product(a, b), c) for x in row)
 
 
 def matrix_to_euler(m: Column, convention: str = "XYZ") -> Column:
@@ -105,10 +127,10 @@ def quaternion_to_matrix(q: Column) -> Column:
     """Of any non-zero quaternion, scalar last."""
     i, j, k, r = parts(q, 4)
     s = F.try_divide(F.lit(2.0), dot([i, j, k, r], [i, j, k, r]))
-    flat = lambda s: vec(
+    flat = vec(
         (1 - s * (j * j + k * k), s * (i * j - k * r), s * (i * k + j * r), s * (i * j + k * r), 1 - s * (i * i + k * k), s * (j * k - i * r), s * (i * k - j * r), s * (j * k + i * r), 1 - s * (i * i + j * j))
     )
-    return bind(s, lambda s: F.when(s.isNotNull(), flat(s)))
+    return F.when(s.isNotNull(), flat)
 
 
 def matrix_to_quaternion(m: Column) -> Column:
@@ -252,7 +274,7 @@ def _minus(a: Column, b: Column) -> Column:
 
 def gripper_delta_pose(R: Column, p: Column, R_to: Column, p_to: Column) -> tuple[Column, Column]:
     """The move to a target pose in the frame of the pose itself."""
-    return matmul(R, R_to, transpose_a=True), bind(_minus(p_to, p), lambda d: matvec(R, d, transpose=True))
+    return matmul(R, R_to, transpose_a=True), matvec(R, _minus(p_to, p), transpose=True)
 
 
 def world_delta_pose(R: Column, p: Column, R_to: Column, p_to: Column) -> tuple[Column, Column]:

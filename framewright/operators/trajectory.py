@@ -165,7 +165,7 @@ def relative_motion(df: DataFrame, f: Frames, xyz: str, rpy: str, R: str) -> Dat
     still, same = F.transform(F.col(xyz), lambda x: x * 0.0), so3.vec(so3.IDENTITY6)
     turn_g, shift_g = so3.gripper_delta_pose(F.col(R), F.col(xyz), n["R"], n["p"])
     turn_w, _ = so3.world_delta_pose(F.col(R), F.col(xyz), n["R"], n["p"])
-    rot6 = lambda m: F.when(n.isNotNull(), so3.bind(m, so3.matrix_to_rotation_6d)).otherwise(same)
+    rot6 = lambda m: F.when(n.isNotNull(), so3.matrix_to_rotation_6d(m)).otherwise(same)
     return out.withColumns(
         {
             "world_xyz": F.when(n.isNotNull(), minus(n["p"], F.col(xyz))).otherwise(still),
@@ -191,7 +191,7 @@ def next_pose_delta(df: DataFrame, f: Frames, xyz: str, R: str) -> DataFrame:
     return out.withColumns(
         {
             "gripper_eef_xyz": F.when(n.isNotNull(), shift).otherwise(so3.vec((0, 0, 0))),
-            "gripper_eef_rot6d": F.when(n.isNotNull(), so3.bind(turn, so3.matrix_to_rotation_6d)).otherwise(so3.vec(so3.IDENTITY6)),
+            "gripper_eef_rot6d": F.when(n.isNotNull(), so3.matrix_to_rotation_6d(turn)).otherwise(so3.vec(so3.IDENTITY6)),
         }
     ).drop("__next")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only where that is unset (tests), a local folder."""
+    """spark.checkpoint.dir; only where that is unset and all runs in this process (tests), a local folder."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "local")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         where = "file://" + tempfile.mkdtemp(prefix="framewright-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
