@@ -100,6 +100,16 @@ def slices_of_episodes(spark, d):
     return ranked.select("p_partkey", meta.percent_slice(i, n, 10, 30).alias("in_slice"), meta.strided_sample(i, n, 7).alias("in_sample"), ((i >= 100) & (i < 150)).alias("in_window"))
 
 
+_SPLITS = {"first": ("train[:25%]", "i < (25 * n + 50) // 100"), "middle": ("train[25%:75%]", "i >= (25 * n + 50) // 100 and i < (75 * n + 50) // 100"), "tail": ("train[-100:]", "i >= n - 100"), "ends": ("train[:10] + train[-10:]", "i < 10 or i >= n - 10")}
+
+
+@query(f"""with r as (select c_custkey, row_number() over (order by c_custkey) - 1 as i, count(*) over () as n from customer) select c_custkey, {', '.join(f'({sql}) as {name}' for name, (_, sql) in _SPLITS.items())} from r""")
+def split_strings(spark, d):
+    ranked = trajectory.global_rank(table(spark, d, "customer").select("c_custkey"), ["c_custkey"], "i")
+    n = ranked.count()
+    return ranked.select("c_custkey", *[meta.in_split(F.col("i"), n, split).alias(name) for name, (split, _) in _SPLITS.items()])
+
+
 # --- columns ---------------------------------------------------------------------------------------
 @query("select l_orderkey, l_linenumber::bigint as l_linenumber, l_quantity as qty, l_discount as price_off, l_extendedprice as action, l_tax as tax from lineitem")
 def rename_and_select(spark, d):
