@@ -8,6 +8,7 @@ result, and further columns are neither read nor returned.
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -30,9 +31,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; only where that is unset (tests), a local one."""
+    """The folder that driver and executors share: spark.checkpoint.dir; only where that is unset and all runs in this process (tests), a local one."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "local")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         where = "file://" + tempfile.mkdtemp(prefix="framewright-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")

@@ -4,7 +4,10 @@ One Aho-Corasick pass finds anchors: at-signs, plus signs, digits, URL schemes a
 each kind expands an anchor to a span and validates it. The four base kinds give exactly the leftmost non-overlapping
 matches of their patterns: every match holds an anchor (its at-sign, plus sign or first digit), and a parser never
 looks at what an earlier match of its kind has taken. Further kinds: ``secret`` (access keys; values after password,
-token, secret or api key), ``iban`` (mod 97), ``ssn`` (after a cue) and ``login`` (user:password in a URL).
+passwd, token, secret, api or access key and an equals sign or colon), ``iban`` (mod 97), ``ssn`` (after a cue) and
+``login`` (user:password in a URL). Cues count in lower case, in capitals and with capital initials. A value after a cue
+counts if it has 8 characters or more up to the next blank or quote and a digit among them: words alone are prose too
+often to be called secrets, so a password of letters only, or of words in quotes, isn't found.
 
 Null and empty texts have no spans. Positions are code points, the end exclusive. One pass, no shuffle.
 """
