@@ -160,54 +160,48 @@ def _encoder(shipped):
 
 
 def encode_ordered(df: DataFrame, spec: str, end_id: int, id_col: str, text_col: str, parts: int) -> DataFrame:
-    """(part, before, doc_id, n, ids): documents range-partitioned and sorted by doc_id; ids as 16- or 32-bit integers with the end id; before: ids of the part's earlier documents."""
+    """(part, before, doc_id, n, ids, id, count): documents range-partitioned and sorted by doc_id; ids as 16- or 32-bit integers with the end id; before: ids of the part's earlier documents.
+
+    Rows without ids are a task's counts: a row for each id it has seen at most.
+    """
     shipped = df.sparkSession.sparkContext.broadcast(spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end, done = _encoder(shipped), np.array([end_id], "<u4").tobytes(), 0
+        encoder, end, done, total = _encoder(shipped), np.array([end_id], "<u4").tobytes(), 0, np.zeros(0, np.int64)
         for batch in common.slices(batches, "text", 1 << 20):
             ids = [np.frombuffer(x + end, "<u4") for x in encoder.encode(common.utf8(batch))]
             n = np.array([len(x) for x in ids], np.int64)
             before = done + np.cumsum(n) - n
             done += int(n.sum())
+            c = np.bincount(np.concatenate(ids), minlength=len(total))
+            c[: len(total)] += total
+            total = c
             packed = [x.astype("<u2").tobytes() if x.max() < 65536 else b"\x00" + x.tobytes() for x in ids]
-            yield pa.RecordBatch.from_arrays([batch.column("part"), pa.array(before), batch.column("doc_id"), pa.array(n), pa.array(packed, pa.binary())], ["part", "before", "doc_id", "n", "ids"])
+            none = pa.nulls(len(n), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("part"), pa.array(before), batch.column("doc_id"), pa.array(n), pa.array(packed, pa.binary()), none, none], names)
+        at = np.flatnonzero(total)
+        none = pa.nulls(len(at), pa.int64())
+        yield pa.RecordBatch.from_arrays([none.cast(pa.int32()), none, none, none, pa.nulls(len(at), pa.binary()), pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names)
 
+    names = ["part", "before", "doc_id", "n", "ids", "id", "count"]
     rows = common.text_rows(df, id_col, text_col).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    return rows.withColumn("part", F.spark_partition_id()).mapInArrow(run, "part int, before long, doc_id long, n long, ids binary")
+    return rows.withColumn("part", F.spark_partition_id()).mapInArrow(run, "part int, before long, doc_id long, n long, ids binary, id long, count long")
 
 
 def raw_ids(x: bytes, n: int) -> np.ndarray:
     return np.frombuffer(x, "<u2").astype("<u4") if len(x) == 2 * n else np.frombuffer(x[1:], "<u4")
 
 
-def count_ids(encoded: DataFrame) -> DataFrame:
-    """(id, n) over all documents; a task sends a row for each id it has seen at most."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            for x, n in zip(batch.column("ids").to_pylist(), batch.column("n").to_pylist()):
-                c = np.bincount(raw_ids(x, n))
-                if len(c) > len(total):
-                    c[: len(total)] += total
-                    total = c
-                else:
-                    total[: len(c)] += c
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["id", "n"])
-
-    return encoded.select("ids", "n").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-
-
 def write_token_file(df: DataFrame, path: str, spec: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write blocks to ``path``/blocks and the rank table to ``path``/ranks."""
     spark = df.sparkSession
     # How many ranges: from the size of the text, so that a task's share stays the same at any input.
-    size = df.agg(F.sum(F.length(text_col))).first()[0] or 0
-    encoded = common.stage_table(encode_ordered(df, spec, end_id, id_col, text_col, max(1, -(-size // PART_BYTES))), "ids")
+    size = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    staged = common.stage_table(encode_ordered(df, spec, end_id, id_col, text_col, max(1, -(-size // PART_BYTES))), "ids")
     # The vocabulary bounds both: as many ranks as ids; and a sum for each range partition.
-    order = [r.id for r in count_ids(encoded).orderBy(F.desc("n"), "id").collect()]
+    counted = staged.where("id is not null").groupBy("id").agg(F.sum("count").alias("n"))
+    order = [r.id for r in counted.orderBy(F.desc("n"), "id").collect()]
+    encoded = staged.where("ids is not null").select("part", "before", "doc_id", "n", "ids")
     ranks = np.zeros(max(order, default=0) + 1, np.uint32)
     ranks[order] = np.arange(len(order), dtype=np.uint32)
     spark.createDataFrame([(i, t) for i, t in enumerate(order)], "rank int, id int").coalesce(1).write.parquet(f"{path}/ranks")
