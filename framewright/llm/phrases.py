@@ -182,7 +182,7 @@ def _projections(docs: DataFrame, frequent, hot) -> DataFrame:
     def hand_on(held: dict[str, list]) -> Iterator[pa.RecordBatch]:
         for lang, parts in held.items():
             _, window, is_hot, n = merged(parts)
-            columns = [pa.array([lang] * len(n)), *[pa.array(np.ascontiguousarray(window[:, k]).view(np.int64)) for k in range(LONGEST)], pa.array(n), pa.array(is_hot)]
+            columns = [pa.array([lang] * len(n), pa.string()), *[pa.array(np.ascontiguousarray(window[:, k]).view(np.int64)) for k in range(LONGEST)], pa.array(n), pa.array(is_hot)]
             yield pa.RecordBatch.from_arrays(columns, ["lang", *_columns, "n", "hot"])
 
     return docs.mapInArrow(run, f"lang string, {', '.join(f'{c} long' for c in _columns)}, n long, hot boolean")

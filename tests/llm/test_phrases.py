@@ -69,6 +69,11 @@ def test_full_filters_only_cost_work(spark, monkeypatch):
     assert collected(spark, rows, least=5, top=50) == plain(rows, 5, 50, 100)
 
 
+def test_languages_without_phrases_beside_others(spark):
+    rows = [(f"l{k:02}", "") for k in range(9)] + [("aa", "x")] * 3 + [("zz", "again and again and again")] * 9
+    assert collected(spark, rows, least=5, top=9) == plain(rows, 5, 9, 100)
+
+
 def test_empty_and_null_only(spark):
     assert collected(spark, [("en", None), (None, "")], least=1) == []
     assert phrases.collocations(spark.createDataFrame([], "text string, lang string")).collect() == []
