@@ -1,16 +1,20 @@
 """N-gram Jaccard join with parity sketches.
 
-A document's shingles are hashed to 64-bit positions; each flips one bit of a sketch, so the Hamming distance of two
-sketches is no more than their sets' symmetric difference, which the threshold bounds by the sizes alone:
-|A^B| <= D = (1-t)/(1+t) (|A|+|B|). By size band, the positions are cut into D + 1 + e blocks of equal ranges. Of a pair
-that links, 1 + e blocks agree at least, hence their XOR-hashes do. A block without an odd position tells nothing, so a
-set sends its other blocks' XOR-hashes as keys; one with more than e empty blocks sends those too, and so no pair is lost.
-A set also sends the keys of the next band if a partner there is possible. Bands begin at one shingle; where D is 0, the
-one block is the whole set. Thresholds below 67 percent could link sets two bands apart and are refused.
+A document's shingles are hashed to 64 bits; each flips one bit of a sketch, so the Hamming distance of two sketches is
+no more than their sets' symmetric difference, which the threshold bounds by the sizes alone:
+|A^B| <= D = (1-t)/(1+t) (|A|+|B|). Shingles have one order for all sets: the rarer first, by counts of hash cells over the
+whole table (which decide about work, never about results), then by hash. A set that links shares t|A| of its shingles at
+least, so of its first |A| - t|A| + SHARED no fewer than SHARED are in the other set, and among the first of that one
+too: they are its pigeonholes and the keys that it sends. A key carries the set's size and its place there; where the
+shingles from that place on can't make up for what the two sizes ask, the pair does not meet there. The first SHARED that
+linked sets have in common always pass. A set that could link with none but its equals sends nothing. Thresholds below
+67 percent could link sets with fewer than SHARED shingles in common and are refused.
 
 Sets that are equal are one class from the start. Then:
 
-1. Keys meet in buckets. Whoever shares a key with others is a candidate of the key's first class.
+1. Keys meet in buckets. Two classes that alone share a key are a pair of it; of keys with more, each class is paired with
+   the key's first, and the key is held for step 3. A pair of SHARED keys or more is a candidate: one with fewer either
+   doesn't link or shares a held key.
 2. A candidate pair must pass the sizes, the Hamming distance of parity sketches (1024 bits, and from 2,048 shingles on
    bits in proportion to the set, folded to the shorter of two), and the exact sets.
 3. In keys that still hold several components, each class outside the key's largest takes its nearest partner by sketch
@@ -39,7 +43,16 @@ from .components import components
 from .hashing import Words, pack5, unpack5
 from .substrings import _by_bucket, _rows
 
-BAND, SKETCH_BITS = 1.5, 1024
+SKETCH_BITS = 1024
+
+#: Keys that linked sets share at least.
+SHARED = 3
+
+#: Cells of the shingle counts, and the rows that a task's counts are sent in. Counts decide the order of shingles only.
+CELL_BITS, CELL_ROWS = 22, 64
+
+#: Classes of one key up to which all pairs are tested as to sizes and places before the key is held.
+FEW = 16
 
 #: Shingles of which SKETCH_BITS still tell unrelated sets apart; the wide sketch of a larger set doubles with it.
 SKETCHED = 2048
@@ -56,40 +69,6 @@ def bound(total, percent: int):
     return total * (100 - percent) // (100 + percent)
 
 
-def _crowded(balls: int, blocks: int, most: int) -> float:
-    """The chance that balls thrown into blocks reach ``most`` blocks at most."""
-    reached = np.zeros(blocks + 1)
-    reached[0] = 1
-    share = np.arange(blocks + 1) / blocks
-    for _ in range(balls):
-        reached[1:] = reached[1:] * share[1:] + reached[:-1] * (1 - share[:-1])
-        reached[0] = 0
-    return float(reached[: most + 1].sum())
-
-
-def bands(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(lower edges, blocks, empty blocks allowed for) of bands from 1 up to beyond ``largest``."""
-    low, blocks, spare = [1], [], []
-    while True:
-        high = max(low[-1] + 1, int(low[-1] * BAND))
-        d, e, least = bound(2 * (high - 1), percent), 0, -(-low[-1] * percent // 100)
-        # Few sets of the band should have more empty blocks than allowed for; those that do send them all.
-        if least < 64:
-            while _crowded(least, d + 1 + e, d) > 0.001:
-                e += 1
-        else:
-            for _ in range(60):
-                e += 1
-                mean = (d + 1 + e) * np.exp(-least / (d + 1 + e))
-                if e >= mean + 3 * mean**0.5 + 1:
-                    break
-        blocks.append(d + 1 + e)
-        spare.append(e)
-        if high > largest:
-            return np.array(low), np.array(blocks), np.array(spare)
-        low.append(high)
-
-
 class Shingles:
     """Sorted distinct shingle hashes of some texts; those of text k are at first[k]:first[k + 1]."""
 
@@ -130,35 +109,34 @@ class Shingles:
         at = (self.hashes[self.first[k] : self.first[k + 1]] & U(bits - 1)).astype(np.int64)
         return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
-    def keys(self, texts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """(keys, their texts) of the texts named by number."""
+    def keys(self, texts: np.ndarray, percent: int, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(keys, their texts, places not counting the first SHARED) of the texts named by number."""
         n = self.counts[texts]
-        low, blocks, spare = bands(percent, int(n.max(initial=0)) * 2)
-        out = []
-        band = np.searchsorted(low, n, "right") - 1
-        above = low[np.minimum(band + 1, len(low) - 1)]
-        for chosen, scheme in ((n > 0, band), ((n > 0) & (above * percent <= 100 * n), band + 1)):
-            who, k = texts[chosen], scheme[chosen]
-            if not len(who):
-                continue
-            at, row = _ranges(self.first[who], self.counts[who])
-            h, b = self.hashes[at], blocks[k][row].astype(np.uint64)
-            block = (h >> U(32)) * b >> U(32)  # rises with h, so that blocks are runs
-            new = np.append(True, (block[1:] != block[:-1]) | (row[1:] != row[:-1]))
-            start = np.flatnonzero(new)
-            xor, row, block = np.bitwise_xor.reduceat(h, start), row[start], block[start]
-            out.append((_named(xor, k[row], block), who[row]))
-            held = np.bincount(row, minlength=len(who))
-            for i in np.flatnonzero(blocks[k] - held > spare[k]):
-                rest = np.setdiff1d(np.arange(blocks[k[i]]), block[row == i].astype(np.int64))
-                out.append((_named(np.zeros(len(rest), np.uint64), np.full(len(rest), k[i]), rest.astype(np.uint64)), np.full(len(rest), who[i])))
-        if not out:
-            return np.zeros(0, np.uint64), texts[:0]
-        return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
-
-
-def _named(xor: np.ndarray, scheme: np.ndarray, block: np.ndarray) -> np.ndarray:
-    return common.mix64(xor + (scheme.astype(np.uint64) + U(1)) * U(0xD6E8FEB86659FD93) + block * U(0xCA5A826395121157))
+        who = texts[100 * n >= percent * (n + 1)]
+        n = self.counts[who]
+        at, row = _ranges(self.first[who], n)
+        h = self.hashes[at]
+        # Hashes rise within a text and sorting is stable, so what ties here goes by the whole hash.
+        order = np.lexsort((levels[h >> U(64 - CELL_BITS)].astype(np.uint64) << U(56) | h >> U(8), row))
+        at, row = _ranges(np.cumsum(n) - n, n - -(-n * percent // 100) + SHARED)
+        place = _ranges(np.zeros(len(n), np.int64), n - -(-n * percent // 100) + SHARED)[0]
+        return common.mix64(h[order[at]] ^ U(0xD6E8FEB86659FD93)), who[row], np.maximum(place + 1 - SHARED, 0)
+
+
+def _short(x: np.ndarray) -> np.ndarray:
+    """16 bits of which ``_least`` and ``_most`` tell a number's bounds: exact below 2048, the leading 11 bits beyond."""
+    shift = np.maximum(np.frexp(x.astype(float))[1] - 11, 0)
+    return (shift << 11 | x >> shift).astype("<u2")
+
+
+def _least(code: np.ndarray) -> np.ndarray:
+    code = code.astype(np.int64)
+    return (code & 2047) << (code >> 11)
+
+
+def _most(code: np.ndarray) -> np.ndarray:
+    code = code.astype(np.int64)
+    return (((code & 2047) + 1) << (code >> 11)) - 1
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,8 +155,41 @@ def _table(names, types, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[n], t) if n in columns else pa.nulls(size, t) for n, t in zip(names, types)], names)
 
 
+def _levels(docs: DataFrame, n: int) -> np.ndarray:
+    """By cell of the shingle hashes, how often they occur (a byte, on a scale of logarithms)."""
+    width = (1 << CELL_BITS) // CELL_ROWS
+
+    def rows(total: np.ndarray) -> pa.RecordBatch:
+        cells = np.ascontiguousarray(np.minimum(total, 255).astype(np.uint8)).reshape(CELL_ROWS, width)
+        return pa.RecordBatch.from_arrays([pa.array(range(CELL_ROWS), pa.int32()), pa.array([c.tobytes() for c in cells], pa.binary())], ["row", "cells"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << CELL_BITS, np.int32)
+        for rb in common.slices(batches, "text"):
+            h, whole = Words(common.utf8(rb), lower=True).windows(n)
+            np.add.at(total, (h[whole] >> U(64 - CELL_BITS)).astype(np.int64), 1)
+        if total.any():
+            yield rows(total)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for rb in batches:
+            for row, cells in zip(rb.column("row").to_pylist(), rb.column("cells").to_pylist()):
+                total[row] = total.get(row, 0) + np.frombuffer(cells, np.uint8).astype(np.int64)
+        out = [np.minimum(12 * np.log2(1 + t), 255).astype(np.uint8).tobytes() for t in total.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(out, pa.binary())], ["row", "cells"])
+
+    counted = docs.select("text").mapInArrow(count, "row int, cells binary").repartition(CELL_ROWS, "row").mapInArrow(add, "row int, cells binary")
+    levels = np.zeros((CELL_ROWS, width), np.uint8)
+    for r in counted.toLocalIterator():
+        levels[r.row] = np.frombuffer(r.cells, np.uint8)
+    return levels.ravel()
+
+
 def _send(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
-    """kind 0: a row for each document; 1: packed (key, class) by bucket; 2: a key's further classes within a slice."""
+    """kind 0: a row for each document; 1: packed (key, class, size, place) by bucket; 2: a key's further classes within a slice."""
+
+    shipped = docs.sparkSession.sparkContext.broadcast(_levels(docs, n))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
@@ -202,52 +213,87 @@ def _send(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
             yield _table(_NAMES, _TYPES, kind=np.zeros(len(s.counts), np.int32), doc_id=rb.column("doc_id"), n=s.counts, cls=s.classes, sketch=sketch, wide=wide)
             if not len(fresh):
                 continue
-            key, who = s.keys(fresh, percent)
+            key, who, place = s.keys(fresh, percent, shipped.value)
             if not len(key):
                 continue
             bucket = (key >> U(40)) % U(buckets)
             key, cls = bucket << U(40) | key & U((1 << 40) - 2), s.classes[who]  # the last bit: several classes here
             order = np.lexsort((cls, key))
-            key, cls = key[order], cls[order]
+            key, cls, size, place = key[order], cls[order], _short(s.counts[who])[order], _short(place)[order]
             start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             count = np.diff(np.append(start, len(key)))
             first = np.repeat(cls[start], count)
             more = np.repeat(count > 1, count) & (cls != first)
             if more.any():
                 yield _table(_NAMES, _TYPES, kind=np.full(int(more.sum()), 2, np.int32), key=key[more].view(np.int64), cls=cls[more], first=first[more])
-            key, cls = key[start] | (count > 1), cls[start]
-            rows = [(b, pack5(k) + c.astype("<i8").tobytes()) for b, (k, c) in _by_bucket(key >> U(40), key, cls)]
+            key = key[start] | (count > 1)
+            rows = [(b, pack5(k) + c.astype("<i8").tobytes() + x.tobytes() + y.tobytes()) for b, (k, c, x, y) in _by_bucket(key >> U(40), key, cls[start], size[start], place[start])]
             yield _table(_NAMES, _TYPES, kind=np.ones(len(rows), np.int32), bucket=[b for b, _ in rows], packed=[p for _, p in rows])
 
     return docs.select("doc_id", "text").mapInArrow(run, _SENT)
 
 
-def _meet(table: pa.Table) -> pa.Table:
-    bucket = table.column("bucket")[0].as_py()
-    keys, classes = [], []
-    for p in table.column("packed").to_pylist():
-        n = len(p) // 13
-        keys.append(unpack5(p[: 5 * n]))
-        classes.append(np.frombuffer(p[5 * n :], "<i8"))
-    key, cls = np.concatenate(keys), np.concatenate(classes)
-    order = np.lexsort((cls, key >> U(1)))
-    key, cls = key[order], cls[order]
-    new = np.append(True, ((key[1:] ^ key[:-1]) > U(1)) | (cls[1:] != cls[:-1]))
-    several = np.bitwise_or.reduceat(key & U(1), np.flatnonzero(new)) > 0
-    key, cls = key[new] & ~U(1), cls[new]
-    start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    count = np.diff(np.append(start, len(key)))
-    several = np.logical_or.reduceat(several, start)
-    first = np.repeat(cls[start], count)
-    pair = np.repeat(count > 1, count) & (cls != first)
-    # Keys of two classes are done with their pair; the members of others may have to be compared.
-    held = np.repeat((count > 2) | (count > 1) & several, count)
-    a, b = np.minimum(cls[pair], first[pair]), np.maximum(cls[pair], first[pair])
-    pairs = np.unique(np.stack([a, b]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
-    key = (U(bucket) << U(40) | key[held]).view(np.int64)
-    none = lambda n: pa.nulls(n, pa.int64())
-    n, m = pairs.shape[1], len(key)
-    return pa.table({"key": pa.concat_arrays([none(n), pa.array(key)]), "cls": pa.array(np.concatenate([pairs[0], cls[held]])), "first": pa.concat_arrays([pa.array(pairs[1]), none(m)])})
+def _meet(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        keys, classes, sizes, places = [], [], [], []
+        for p in table.column("packed").to_pylist():
+            n = len(p) // 17
+            keys.append(unpack5(p[: 5 * n]))
+            classes.append(np.frombuffer(p, "<i8", n, 5 * n))
+            sizes.append(np.frombuffer(p, "<u2", n, 13 * n))
+            places.append(np.frombuffer(p, "<u2", n, 15 * n))
+        key, cls, size, place = (np.concatenate(x) for x in (keys, classes, sizes, places))
+        order = np.lexsort((cls, key >> U(1)))
+        key, cls, size, place = key[order], cls[order], size[order], place[order]
+        new = np.append(True, ((key[1:] ^ key[:-1]) > U(1)) | (cls[1:] != cls[:-1]))
+        several = np.bitwise_or.reduceat(key & U(1), np.flatnonzero(new)) > 0
+        key, cls, size, place = key[new] & ~U(1), cls[new], size[new], place[new]
+        start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        count = np.diff(np.append(start, len(key)))
+        several = np.logical_or.reduceat(several, start)
+
+        def meets(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            """Whether rows x and y of one key could be among the first SHARED that linked sets have in common."""
+            ok = np.ones(x.shape, bool)
+            for p, q in ((x, y), (y, x)):
+                ok &= percent * _least(size[q]) + (100 + percent) * _least(place[p]) <= 100 * _most(size[p])
+            return ok
+
+        held, a, b = np.zeros(len(key), bool), [], []
+        for g in range(2, FEW + 1):
+            at = start[(count == g) & ~several][:, None] + np.arange(g)
+            x, y = np.triu_indices(g, 1)
+            ok = meets(at[:, x], at[:, y])
+            found = ok.sum(axis=1)
+            # One pair is told at once; where there are more, the key is held for those that meet.
+            one, many = ok & (found == 1)[:, None], ok & (found > 1)[:, None]
+            told = one | many & (x == 0)
+            u, v = at[:, x], at[:, y]
+            held[u[many]] = held[v[many]] = True
+            a.append(u[told])
+            b.append(v[told])
+        rest = several & (count > 1) | (count > FEW)
+        at, row = _ranges(start[rest], count[rest])
+        held[at] = True
+        first = start[rest][row]
+        told = (at != first) & meets(first, at)
+        a, b = np.concatenate([*a, first[told]]), np.concatenate([*b, at[told]])
+        pairs, shared = np.zeros((2, 0), np.int64), np.zeros(0, np.int64)
+        if len(a):
+            pairs, shared = np.unique(np.stack([cls[a], cls[b]]), axis=1, return_counts=True)  # classes rise within a key
+        key = (U(bucket) << U(40) | key[held]).view(np.int64)
+        n, m = pairs.shape[1], len(key)
+        return pa.table(
+            {
+                "key": pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(key)]),
+                "cls": pa.array(np.concatenate([pairs[0], cls[held]])),
+                "first": pa.concat_arrays([pa.array(pairs[1]), pa.nulls(m, pa.int64())]),
+                "shared": pa.concat_arrays([pa.array(shared), pa.nulls(m, pa.int64())]),
+            }
+        )
+
+    return run
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
@@ -363,7 +409,7 @@ def jaccard_groups(df: DataFrame, n: int, percent: int, id_col: str = "doc_id",
     Components only: pairs within a component are skipped, so there are neither pairs nor a document's number of links.
     """
     if percent < 67:
-        raise ValueError("a threshold below 67 percent could link sets two bands apart")
+        raise ValueError(f"a threshold below 67 percent could link sets with fewer than {SHARED} shingles in common")
     docs = common.text_rows(df, id_col, text_col)
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, size * 5 // 6 // BUCKET_BYTES)
@@ -372,11 +418,13 @@ def jaccard_groups(df: DataFrame, n: int, percent: int, id_col: str = "doc_id",
     reps = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"))
     sketches = rows.where("sketch is not null").select("cls", "n", "sketch", "wide").dropDuplicates(["cls"])
     classes = common.stage_table(reps.join(sketches, "cls"), "classes", "none")
-    met = sent.where("kind = 1").select("bucket", "packed").groupBy("bucket").applyInArrow(_meet, "key long, cls long, first long")
+    met = sent.where("kind = 1").select("bucket", "packed").groupBy("bucket").applyInArrow(_meet(percent), "key long, cls long, first long, shared long")
     met = common.stage_table(met, "met")
     common.discard(sent, "kind=1")
     beside = sent.where("kind = 2").select("key", "cls", "first")
-    pairs = met.where("key is null").select(F.col("cls").alias("a"), F.col("first").alias("b")).unionByName(beside.select(F.least("cls", "first").alias("a"), F.greatest("cls", "first").alias("b"))).distinct()
+    pairs = met.where("key is null").select(F.col("cls").alias("a"), F.col("first").alias("b"), "shared")
+    pairs = pairs.unionByName(beside.select(F.least("cls", "first").alias("a"), F.greatest("cls", "first").alias("b"), F.lit(1).cast("long").alias("shared")))
+    pairs = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared")).where(F.col("shared") >= SHARED).select("a", "b")
     near = common.stage_table(_near(pairs, classes, percent), "near")
     holders = met.where("key is not null").select("key", "cls").unionByName(beside.select("key", "cls")).unionByName(beside.select("key", F.col("first").alias("cls"))).distinct()
     # Keys of two classes are done with their pair.

@@ -118,3 +118,29 @@ def test_wide_sketches_bound_the_difference():
             assert jaccard._far(s.wide(i), s.wide(j)) <= len(sets[i] ^ sets[j])
     n = len(sets[0]) + len(sets[3])
     assert jaccard._far(s.wide(0), s.wide(3)) > jaccard.bound(n, 85)
+
+
+def test_chance_meetings_stay_few(spark, docs_of, monkeypatch):
+    """Texts that share a few phrases each with many others, without a link: hardly a pair of them may reach the sketches."""
+    rng = random.Random(15)
+    phrases = [[f"p{k}x{i}" for i in range(6)] for k in range(60)]
+    rows = []
+    for d in range(400):
+        words = [f"d{d}w{i}" for i in range(60)]
+        for p in rng.sample(phrases, 8):
+            words += [*p, f"d{d}z{len(words)}"]
+        rows.append((d, " ".join(words)))
+    rows.append((400, rows[7][1] + " tail"))
+    asked = []
+    near = jaccard._near
+    monkeypatch.setattr(jaccard, "_near", lambda pairs, *more: asked.append(pairs.count()) or near(pairs, *more))
+    got = run(docs_of(rows), 5, 80)
+    assert {r[0]: r[2] for r in got} == {d: 7 if d == 400 else d for d in range(401)}
+    assert sum(asked) < 20
+
+
+def test_short_numbers_bound_the_number():
+    x = jaccard.np.array([0, 1, 2047, 2048, 2049, 4095, 4096, 70_001, 10**9])
+    code = jaccard._short(x)
+    assert (jaccard._least(code) <= x).all() and (x <= jaccard._most(code)).all()
+    assert (jaccard._least(code)[:3] == x[:3]).all() and (jaccard._most(code)[:3] == x[:3]).all()
