@@ -17,11 +17,11 @@ Sets that are equal are one class from the start. Then:
    doesn't link or shares a held key.
 2. A candidate pair must pass the sizes, the Hamming distance of parity sketches (1024 bits, and from 2,048 shingles on
    bits in proportion to the set, folded to the shorter of two), and the exact sets.
-3. In keys that still hold several components, each class outside the key's largest takes its nearest partner by sketch
-   in another component, then the next three, twelve and so on, as long as there are any; those pass the same tests, and
-   components grow between the rounds. A key is left as soon as no such partner remains in it. So a group of near copies never comes to all its pairs, and none that could
-   link two components is left out. A key with very many classes is dealt to tasks as pairs of chunks.
-4. Connected components of the links.
+3. In keys that still hold several components, each class outside the key's largest takes its partners in other
+   components, nearest first by sketch; those pass the same tests, and components grow with each link. A key is left as
+   soon as no such partner remains in it. So a group of near copies seldom comes to all its pairs, and none that could
+   link two components is left out. A key with many classes is dealt to tasks as pairs of chunks.
+4. Connected components of the links: those of step 2, then those that the links of step 3 make of them.
 
 A task sends a class once, and a key once for each slice; the rest of a slice's holders of a key go past the buckets.
 
@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from . import common
 from .components import components
 from .hashing import Words, pack5, unpack5
+from .phrases import Bloom
 from .substrings import _by_bucket, _rows
 
 SKETCH_BITS = 1024
@@ -57,8 +58,8 @@ FEW = 16
 #: Shingles of which SKETCH_BITS still tell unrelated sets apart; the wide sketch of a larger set doubles with it.
 SKETCHED = 2048
 
-#: Classes of one key that a task compares; keys with more are dealt as pairs of chunks of this size.
-CHUNK = 2048
+#: Classes of one key, and shingles of theirs, of about which a chunk is made; keys with more are dealt as pairs of chunks.
+CHUNK, CHUNK_SHINGLES = 512, 1 << 20
 
 BUCKET_BYTES, LEAST_BUCKETS = 4 << 20, 256
 U = np.uint64
@@ -333,69 +334,89 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def _sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """(cls, hashes): the exact sets of the classes, made anew from a text of each."""
-    ids = wanted.join(classes, "cls").select(F.col("rep").alias("doc_id")).distinct()
+    # Texts aren't shuffled: a filter of bounded size picks them where they lie, and what it lets through by chance goes by the join below.
+    ids = wanted.join(classes, "cls").select(F.xxhash64("rep").alias("h"))
+    shipped = docs.sparkSession.sparkContext.broadcast(Bloom(ids, wanted.count()))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rb in common.slices(batches, "text"):
+        held = (rb.filter(pa.array(shipped.value.holds(rb.column("h").to_numpy().view(U)))) for rb in batches)
+        for rb in common.slices(held, "text"):
             s = Shingles(common.utf8(rb), n)
             packed = [s.hashes[x:y].astype("<u8").tobytes() for x, y in zip(s.first[:-1].tolist(), s.first[1:].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(s.classes), pa.array(packed, pa.binary())], ["cls", "hashes"])
 
-    made = docs.join(ids, docs.doc_id.eqNullSafe(ids.doc_id), "left_semi").select("text").mapInArrow(sets, "cls long, hashes binary")
+    made = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(sets, "cls long, hashes binary")
     # Not compressed: the sets of near copies would pack to little, and the planner broadcasts by the size of files.
     return common.stage_table(made.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "sets", "none")
 
 
+def _links(x: bytes, y: bytes, percent: int) -> bool:
+    p, q = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+    both = np.concatenate([p, q])
+    both.sort()
+    same = int((both[1:] == both[:-1]).sum())
+    return 100 * same >= percent * (len(p) + len(q) - same)
+
+
 def _verify(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that link."""
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            ok = []
-            for x, y in zip(rb.column("ha").to_pylist(), rb.column("hb").to_pylist()):
-                p, q = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                both = np.concatenate([p, q])
-                both.sort()
-                same = int((both[1:] == both[:-1]).sum())
-                ok.append(100 * same >= percent * (len(p) + len(q) - same))
+            ok = [_links(x, y, percent) for x, y in zip(rb.column("ha").to_pylist(), rb.column("hb").to_pylist())]
             yield rb.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     a, b = (sets.select(F.col("cls").alias(x), F.col("hashes").alias(f"h{x}")) for x in "ab")
     return near.join(a, "a").join(b, "b").select("a", "b", "ha", "hb").mapInArrow(exact, "a long, b long")
 
 
-def _across(members: DataFrame, percent: int, low: int, high: int) -> DataFrame:
-    """Pairs (a, b) of one key's classes in different components; members: key, chunks, cls, comp, big, n, sketch.
+def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join components of a key's classes; members: key, chunks, cls, comp, big, n, sketch.
 
-    A class that isn't big (in its key's largest component at the start) takes those of its partners, nearest first by
-    sketch, that are low-th to before high-th of what sizes and sketches allow. A row without b names, as a, a key with
-    more beyond. A key with more than CHUNK classes is cut into chunks, and each pair of chunks is a group of its own.
+    Each class that isn't big (in its key's largest component) meets all others of the key in another component. A key
+    of several chunks is dealt as pairs of chunks, each a group of its own. Sketches tell first which classes have a
+    partner at all, and only those bring their exact sets.
     """
     dealt = members.withColumn("own", F.pmod(F.xxhash64("cls"), "chunks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "comp", "big", "n", "sketch")
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "comp", "big", "n", "sketch")
 
-    def run(table: pa.Table) -> pa.Table:
-        cls, comp, size = (table.column(c).to_numpy() for c in ("cls", "comp", "n"))
+    def partners(table: pa.Table):
+        """(k, may): each class k that asks, and by class, whether sizes and sketches allow the pair."""
+        own, size, i, j = (table.column(c).to_numpy() for c in ("own", "n", "i", "j"))
         big = table.column("big").to_numpy(zero_copy_only=False)
         sketch = _sketch_array(table.column("sketch").combine_chunks()).view(np.uint64)
-        a, b, more = [], [], False
         for k in np.flatnonzero(~big):
             far = _popcount(sketch[k] ^ sketch)
-            ok = (100 * np.minimum(size[k], size) >= percent * np.maximum(size[k], size)) & (far <= bound(size[k] + size, percent))
-            ok[k] = False
-            near = np.flatnonzero(ok)
+            # In a group of two chunks only pairs across them: the others have a group of their own.
+            yield k, far, (100 * np.minimum(size[k], size) >= percent * np.maximum(size[k], size)) & (far <= bound(size[k] + size, percent)) & ((own != own[k]) | (i == j))
+
+    def asked(table: pa.Table) -> pa.Table:
+        comp = table.column("comp").to_numpy()
+        some = np.zeros(len(comp), bool)
+        for k, _, may in partners(table):
+            may &= comp != comp[k]
+            some |= may
+            some[k] |= may.any()
+        return table.filter(pa.array(some))
+
+    def exact(table: pa.Table) -> pa.Table:
+        cls, comp = table.column("cls").to_numpy(), table.column("comp").to_numpy().copy()
+        hashes = table.column("hashes").combine_chunks()
+        a, b = [], []
+        for k, far, may in partners(table):
+            near = np.flatnonzero(may & (comp != comp[k]))
             near = near[np.lexsort((cls[near], far[near]))]
-            more = more or bool((comp[near[high:]] != comp[k]).any())
-            near = near[low:high]
-            near = near[comp[near] != comp[k]]
-            a.append(np.full(len(near), cls[k]))
-            b.append(cls[near])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
-        more = int(more)
-        return pa.table({"a": pa.concat_arrays([pa.array(pairs[0]), pa.array(table.column("key")[:more].to_pylist(), pa.int64())]), "b": pa.concat_arrays([pa.array(pairs[1]), pa.nulls(more, pa.int64())])})
+            while len(near):
+                if _links(hashes[k].as_buffer(), hashes[near[0]].as_buffer(), percent):
+                    a.append(cls[k])
+                    b.append(cls[near[0]])
+                    comp[comp == comp[near[0]]] = comp[k]
+                near = near[1:]
+                near = near[comp[near] != comp[k]]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return dealt.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    some = common.stage_table(dealt.groupBy("key", "i", "j").applyInArrow(asked, dealt.schema), "asked")
+    return some.join(sets, "cls").groupBy("key", "i", "j").applyInArrow(exact, "a long, b long")
 
 
 def _labelled(df: DataFrame, labels: DataFrame) -> DataFrame:
@@ -433,30 +454,21 @@ def jaccard_groups(df: DataFrame, n: int, percent: int, id_col: str = "doc_id",
     sets = _sets(common.stage_table(wanted, "wanted"), classes, docs, n)
     links = common.stage_table(_verify(near, sets, percent), "links")
     labels = components(links)
-    holders = _labelled(holders, labels)
+    holders = _labelled(holders, labels).join(classes.select("cls", "n"), "cls")
     # Keys that hold several components; many keys hold the same classes, and one of them is enough.
-    own = holders.groupBy("key", "comp").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"))
-    keys = own.groupBy("key").agg(F.sum("c").alias("g"), F.count("*").alias("comps"), F.max_by("comp", F.struct("c", "comp")).alias("most"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
-    keys = keys.where("comps > 1").groupBy("g", "x", "y").agg(F.min(F.struct("key", "most")).alias("k")).select("k.key", "k.most", F.ceil(F.col("g") / CHUNK).cast("long").alias("chunks"))
-    members = holders.join(keys, "key").join(classes, "cls").select("key", "chunks", "cls", "comp", (F.col("comp") == F.col("most")).alias("big"), "n", "sketch")
-    members = here = common.stage_table(members, "members")
-    low, high = 0, 1
-    while True:
-        found = common.stage_table(_across(here, percent, low, high), "across")
-        fresh = found.where("b is not null")
-        if fresh.limit(1).count():
-            links = links.unionByName(common.stage_table(_verify(_near(fresh, classes, percent), sets, percent), "links"))
-            labels = components(links)
-        beyond = found.where("b is null").select(F.col("a").alias("key"))
-        if not beyond.limit(1).count():
-            break
-        # Only keys with partners beyond are asked again, and of those only what still holds several components.
-        here = _labelled(members.drop("comp").join(beyond, "key", "left_semi"), labels)
-        still = here.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key")
-        here = here.join(still, "key", "left_semi")
-        low, high = high, 4 * high
-    common.discard(sets)
+    own = holders.groupBy("key", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("n"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"))
+    keys = own.groupBy("key").agg(F.sum("c").alias("g"), F.sum("n").alias("n"), F.count("*").alias("comps"), F.max_by("comp", F.struct("c", "comp")).alias("most"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    chunks = F.ceil(F.greatest(F.col("g") / CHUNK, F.col("n") / CHUNK_SHINGLES)).cast("long")
+    keys = keys.where("comps > 1").withColumn("chunks", chunks).groupBy("g", "x", "y").agg(F.min(F.struct("key", "most", "chunks")).alias("k")).select("k.*")
+    members = holders.drop("n").join(keys, "key").join(classes, "cls").select("key", "chunks", "cls", "comp", (F.col("comp") == F.col("most")).alias("big"), "n", "sketch")
+    found = common.stage_table(_across(common.stage_table(members, "members"), sets, percent), "across")
     named = _labelled(classes.select("cls", "rep"), labels)
+    if found.limit(1).count():
+        # Components of components: a link's ends stand for what they are in already.
+        ends = (_labelled(found.select(F.col(x).alias("cls"), F.col("a").alias("l0"), F.col("b").alias("l1")), labels).select("l0", "l1", F.col("comp").alias(f"c{x}")) for x in "ab")
+        merged = components(next(ends).join(next(ends), ["l0", "l1"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        named = named.join(merged.select(F.col("node").alias("comp"), "label"), "comp", "left").select("cls", "rep", F.coalesce("label", "comp").alias("comp"))
+    common.discard(sets)
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = named.join(least, "comp").select("cls", "component_id")
     done = rows.where("n > 0").join(named, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id")

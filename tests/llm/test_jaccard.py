@@ -144,3 +144,22 @@ def test_short_numbers_bound_the_number():
     code = jaccard._short(x)
     assert (jaccard._least(code) <= x).all() and (x <= jaccard._most(code)).all()
     assert (jaccard._least(code)[:3] == x[:3]).all() and (jaccard._most(code)[:3] == x[:3]).all()
+
+
+def test_near_copies_in_one_pass(docs_of, monkeypatch):
+    """A key's classes come to their components in one pass, however many partners they have to try, and no text is shuffled for the exact sets."""
+    rng = random.Random(16)
+    base = [f"v{rng.randint(0, 5000)}" for _ in range(150)]
+    rows = [(i, " ".join(edited(rng, base, 0.022))) for i in range(70)]
+    made, plans, stage = [], [], jaccard.common.stage_table
+
+    def staged(df, tag, *more, **named):
+        if tag == "sets":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stage(df, tag, *more, **named)
+
+    monkeypatch.setattr(jaccard.common, "stage_table", staged)
+    monkeypatch.setattr(jaccard, "components", lambda links: made.append(1) or components(links))
+    assert run(docs_of(rows), 4, 85) == sorted(brute.jaccard_groups(rows, 4, 85), key=repr)
+    assert len(made) <= 2
+    assert plans and all("Join" not in p.split("MapInArrow")[1] for p in plans)
