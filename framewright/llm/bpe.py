@@ -58,6 +58,11 @@ class TreeBpe:
         self.pieces = common.Bounded(lambda x: array("I", self.encode_piece(x.encode())).tobytes())
         self.chunks = common.Bounded(self._chunk)
 
+    def forget(self) -> None:
+        """Empty the memos, which hold some 150 MB after a long task."""
+        for memo in (self.short, self.pieces, self.chunks):
+            memo.forget()
+
     def _chunk(self, s: str) -> bytes:
         # A blank, letters and ASCII marks: the marks are a match of their own.
         core = s.rstrip(MARKS)
@@ -184,8 +189,9 @@ def bpe_round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "
                 columns.append(pa.array(kept, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
+        bpe.forget()
 
-    return common.text_rows(df, id_col, text_col).mapInArrow(run, schema)
+    return common.text_rows(df, id_col, text_col).mapInArrow(common.tidy(run), schema)
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -180,7 +180,7 @@ def _levels(docs: DataFrame, n: int) -> np.ndarray:
         out = [np.minimum(12 * np.log2(1 + t), 255).astype(np.uint8).tobytes() for t in total.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(out, pa.binary())], ["row", "cells"])
 
-    counted = docs.select("text").mapInArrow(count, "row int, cells binary").repartition(CELL_ROWS, "row").mapInArrow(add, "row int, cells binary")
+    counted = docs.select("text").mapInArrow(common.tidy(count), "row int, cells binary").repartition(CELL_ROWS, "row").mapInArrow(add, "row int, cells binary")
     levels = np.zeros((CELL_ROWS, width), np.uint8)
     for r in counted.toLocalIterator():
         levels[r.row] = np.frombuffer(r.cells, np.uint8)
@@ -231,7 +231,7 @@ def _send(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
             rows = [(b, pack5(k) + c.astype("<i8").tobytes() + x.tobytes() + y.tobytes()) for b, (k, c, x, y) in _by_bucket(key >> U(40), key, cls[start], size[start], place[start])]
             yield _table(_NAMES, _TYPES, kind=np.ones(len(rows), np.int32), bucket=[b for b, _ in rows], packed=[p for _, p in rows])
 
-    return docs.select("doc_id", "text").mapInArrow(run, _SENT)
+    return docs.select("doc_id", "text").mapInArrow(common.tidy(run), _SENT)
 
 
 def _meet(percent: int):
@@ -329,7 +329,7 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 yield rb.select(["a", "b"]).filter(pa.array(ok))
 
     a, b = (classes.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("wide").alias(f"w{x}")) for x in "ab")
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "sa", "sb", "wa", "wb").mapInArrow(run, "a long, b long")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "sa", "sb", "wa", "wb").mapInArrow(common.tidy(run), "a long, b long")
 
 
 def _sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
@@ -345,7 +345,7 @@ def _sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> Dat
             packed = [s.hashes[x:y].astype("<u8").tobytes() for x, y in zip(s.first[:-1].tolist(), s.first[1:].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(s.classes), pa.array(packed, pa.binary())], ["cls", "hashes"])
 
-    made = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(sets, "cls long, hashes binary")
+    made = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(common.tidy(sets), "cls long, hashes binary")
     # Not compressed: the sets of near copies would pack to little, and the planner broadcasts by the size of files.
     return common.stage_table(made.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "sets", "none")
 
@@ -367,7 +367,7 @@ def _verify(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield rb.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     a, b = (sets.select(F.col("cls").alias(x), F.col("hashes").alias(f"h{x}")) for x in "ab")
-    return near.join(a, "a").join(b, "b").select("a", "b", "ha", "hb").mapInArrow(exact, "a long, b long")
+    return near.join(a, "a").join(b, "b").select("a", "b", "ha", "hb").mapInArrow(common.tidy(exact), "a long, b long")
 
 
 def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

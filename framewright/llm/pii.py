@@ -176,7 +176,7 @@ def redact_column(df: DataFrame, text_col: str = "text") -> DataFrame:
             texts = pa.array([t if t is None else redact(t) for t in batch.column(at).to_pylist()], pa.string())
             yield batch.set_column(at, batch.schema.field(at).name, texts)
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(common.tidy(run), df.schema)
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,3 +97,19 @@ def test_forgotten_words_are_the_same():
     for k in range(30):
         text = " ".join(f"the word{'abcdefg'[i % 7]}, {i % 3 * k}" for i in range(k % 9))
         assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == WORDS.encode(text, add_special_tokens=False).ids
+
+
+def test_workers_keep_no_memos(docs_of, spark):
+    """What encoding has learnt doesn't stay in a worker, where the pipeline's next steps would add to it."""
+    import pyarrow as pa
+
+    letters = np.random.default_rng(3).integers(97, 123, (4, 10_000, 9), np.uint8)
+    rows = [(i, " ".join(w.tobytes().decode() for w in x)) for i, x in enumerate(letters)]
+    assert bpe.bpe_round_trip(docs_of(rows).coalesce(1), P.path("byte_bpe_50k.tiktoken"), P.PATTERN).count() == 4
+
+    def held(batches):
+        list(batches)
+        sizes = [len(m) + len(m.old) for b in bpe._made.values() for m in (b.short, b.pieces, b.chunks)]
+        yield pa.RecordBatch.from_pydict({"memos": pa.array([sum(sizes)], pa.int64())})
+
+    assert [r.memos for r in spark.range(0, 8, 1, 8).mapInArrow(held, "memos long").collect()] == [0] * 8
