@@ -113,3 +113,28 @@ def test_workers_keep_no_memos(docs_of, spark):
         yield pa.RecordBatch.from_pydict({"memos": pa.array([sum(sizes)], pa.int64())})
 
     assert [r.memos for r in spark.range(0, 8, 1, 8).mapInArrow(held, "memos long").collect()] == [0] * 8
+
+
+def test_words_are_looked_up_once():
+    class Counted(dict):
+        def get(self, *key):
+            self.asked = getattr(self, "asked", 0) + 1
+            return super().get(*key)
+
+    e = tokenbin.WordEncoder(SPEC)
+    e.known = Counted(e.known)
+    texts = ["one two, two (three) One", "", "Étude étude. one's two"]
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in e.encode([t.encode() for t in texts])] == [WORDS.encode(t, add_special_tokens=False).ids for t in texts]
+    assert e.known.asked == 2 * sum(len(t.split()) for t in texts)
+
+
+def test_words_across_generations():
+    """Cores and words share a memo; both stay right when it starts anew at any moment."""
+    r = random.Random(5)
+    e = tokenbin.WordEncoder(SPEC)
+    e.most = 6
+    some = ["tree", "Tree", "TREE.", "tree,", "(tree", "straße", "Straße!", "ÉTÉ?", "été", "it's", "x1", "...", "<|endoftext|>", "ét", "日本", "İx", "a b", "!"]
+    for _ in range(300):
+        texts = [" ".join(r.choices(some, k=r.randrange(5))) for _ in range(3)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in e.encode([t.encode() for t in texts])] == [WORDS.encode(t, add_special_tokens=False).ids for t in texts]
