@@ -38,69 +38,66 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _repeat_words(words: Column) -> Column:
-    """Words in 8-word windows that the text holds twice or more."""
-
-    def covered(windows: Column) -> Column:
-        # By hash, then place: equal windows are neighbours; then the places in order, each covering up to the next.
-        marked = let(
-            F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
-            lambda s: F.sort_array(
-                F.transform(
-                    F.filter(F.transform(s, lambda x, j: F.struct(x["i"].alias("i"), ((x["h"] == F.get(s, j - 1)["h"]) | (x["h"] == F.get(s, j + 1)["h"])).alias("d"))), lambda x: x["d"]),
-                    lambda x: x["i"],
-                )
-            ),
-        )
-        return let(marked, lambda p: F.aggregate(F.zip_with(p, F.slice(p, F.lit(2), F.size(p)), lambda a, b: F.least(F.lit(8), F.coalesce(b - a, F.lit(8)))), F.lit(0), lambda x, y: x + y))
-
-    def windows(hashes: Column, width: int = 1) -> Column:
-        # A window of twice the width from the two that make it.
-        if width == 8:
-            return hashes
-        n = F.size(hashes) - width
-        pairs = F.zip_with(F.slice(hashes, F.lit(1), n), F.slice(hashes, F.lit(width + 1), n), lambda a, b: F.xxhash64(a, b))
-        return let(pairs, lambda h: windows(h, 2 * width))
-
-    def counted(w: Column) -> Column:
-        return F.when(F.size(F.array_distinct(w)) < F.size(w), covered(w)).otherwise(0)
-
-    # Words are hashed once, windows from their words' hashes.
-    return F.when(F.size(words) >= 9, let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: let(windows(h), counted))).otherwise(0)
+def neighbours(values: Column, step: int, both: Callable[[Column, Column], Column]) -> Column:
+    """both of each value and the one step places on."""
+    n = F.greatest(F.size(values) - step, F.lit(0))
+    return F.zip_with(F.slice(values, F.lit(1), n), F.slice(values, F.lit(step + 1), n), both)
+
+
+def _windows(words: Column, width: int = 1) -> Column:
+    """Hashes of all 8-word windows: one of twice the width from the two that make it."""
+    if width == 8:
+        return words
+    return let(neighbours(words, width, lambda a, b: F.xxhash64(a, b)), lambda h: _windows(h, 2 * width))
+
+
+def _covered(windows: Column) -> Column:
+    """Words in windows that the text holds twice or more."""
+    # By hash, then place: equal windows are neighbours; then the places in order, each covering up to the next.
+    marked = let(
+        F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+        lambda s: F.sort_array(
+            F.transform(
+                F.filter(F.transform(s, lambda x, j: F.struct(x["i"].alias("i"), ((x["h"] == F.get(s, j - 1)["h"]) | (x["h"] == F.get(s, j + 1)["h"])).alias("d"))), lambda x: x["d"]),
+                lambda x: x["i"],
+            )
+        ),
+    )
+    return let(marked, lambda p: F.aggregate(F.zip_with(p, F.slice(p, F.lit(2), F.size(p)), lambda a, b: F.least(F.lit(8), F.coalesce(b - a, F.lit(8)))), F.lit(0), lambda x, y: x + y))
 
 
 def base_features(df: DataFrame) -> DataFrame:
     """df (with text) and n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    words = F.filter(F.split(text, SPACE + "+"), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    out = df.withColumns(
+
+    def cut(pieces: Column) -> Column:
+        # Cut at every white space, so one pass gives their number as well; between two of them nothing stands.
+        return let(F.array_remove(pieces, ""), lambda w: F.struct((F.size(pieces) - 1).alias("spaces"), F.size(w).alias("words"), _windows(w).alias("windows")))
+
+    out = df.withColumn("__cut", let(F.split(text, SPACE), cut))
+    windows, counted = F.col("__cut.windows"), lambda name: F.coalesce(F.col(f"__cut.{name}"), F.lit(0))  # never null
+    out = out.withColumns(
         {
-            "__words": words,
-            "word_chars": (F.length(text) - F.regexp_count(text, F.lit(SPACE))).cast("long"),
+            "word_chars": (F.length(text) - counted("spaces")).cast("long"),
             "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
             "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
+            "n_words": counted("words").cast("long"),
+            "n_repeat_words": F.when(F.size(F.array_distinct(windows)) < F.size(windows), _covered(windows)).otherwise(0).cast("long"),
         }
-    )
-    out = out.withColumns({"n_words": F.size("__words").cast("long"), "n_repeat_words": _repeat_words(F.col("__words")).cast("long")}).drop("__words")
+    ).drop("__cut")
     return out.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 
-def _ngrams(text: Column, value: Callable[[Column], Column]) -> Column:
-    """A value of the hash of each of a text's unigrams and bigrams, in no order that matters."""
+def _ngrams(text: Column) -> Column:
+    """Hashes of a text's unigrams and bigrams, in no order that matters."""
 
     def both(t: Column) -> Column:
-        pairs = F.zip_with(t, F.slice(t, F.lit(2), F.size(t)), lambda a, b: F.when(b.isNotNull(), value(F.xxhash64(a, b))))
-        return F.concat(F.transform(t, lambda x: value(F.xxhash64(x))), F.filter(pairs, lambda x: x.isNotNull()))
+        return F.concat(F.transform(t, lambda x: F.xxhash64(x)), neighbours(t, 1, lambda a, b: F.xxhash64(a, b)))
 
     return let(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(NGRAM), F.lit(0)), both)
 
 
-def ngram_buckets(text: Column, buckets: int = BUCKETS) -> Column:
-    """Buckets of a text's unigrams and bigrams, in no order that matters."""
-    return _ngrams(text, lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
-
-
 def labelled_ids(labels: DataFrame, which: str, most: int = TRUSTED) -> DataFrame:
     """At most ``most`` ids of documents that labels say ``which`` of, the first by hash."""
     ids = labels.where(which).where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
@@ -123,7 +120,7 @@ def toxic_ngrams(docs: DataFrame, labels: DataFrame, most: int = TRUSTED) -> lis
     trusted = trusted_ids(labels, most).join(toxic, "doc_id", "left_anti")
 
     def held(ids: DataFrame) -> DataFrame:
-        return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").select(F.array_distinct(_ngrams(F.col("text"), lambda h: h)).alias("grams"))
+        return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").select(F.array_distinct(_ngrams(F.col("text"))).alias("grams"))
 
     said = common.stage_table(held(toxic), "held")
     nx, gx = said.agg(F.count("*"), F.coalesce(F.sum(F.size("grams").cast("long")), F.lit(0))).first()
@@ -146,9 +143,11 @@ def toxic_ngrams(docs: DataFrame, labels: DataFrame, most: int = TRUSTED) -> lis
 def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, most: int = TRUSTED) -> DataFrame:
     """(bucket, ratio): log of trusted over corpus probability, of every bucket with an n-gram."""
     trusted = F.broadcast(trusted_ids(labels, most).withColumn("t", F.lit(1)))
-    # By explode_outer: for explode the planner adds a filter that makes the n-grams a second time.
-    grams = docs.select("doc_id", "text").join(trusted, "doc_id", "left").select(F.coalesce("t", F.lit(0)).alias("t"), F.explode_outer(ngram_buckets(F.col("text"), buckets)).alias("bucket")).where("bucket is not null")
-    counts = common.stage_table(grams.groupBy("bucket").agg(F.count("*").alias("c"), F.sum("t").alias("ct")), "ngrams")
+    grams = docs.select("doc_id", "text").join(trusted, "doc_id", "left").select(F.coalesce("t", F.lit(0)).alias("t"), _ngrams(F.col("text")).alias("grams"))
+    # By explode_outer: for explode the planner adds a filter that makes the n-grams a second time. The n-grams are a
+    # column first, and buckets are of rows, not within arrays: so Spark compiles what is done for each n-gram.
+    grams = grams.select("t", F.explode_outer("grams").alias("gram")).where("gram is not null")
+    counts = common.stage_table(grams.groupBy(F.pmod("gram", F.lit(buckets)).cast("int").alias("bucket")).agg(F.count("*").alias("c"), F.sum("t").alias("ct")), "ngrams")
     n, nt = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("ct"), F.lit(0))).first()
     ratio = F.log((F.col("ct") + 1) / F.lit(nt + buckets)) - F.log((F.col("c") + 1) / F.lit(n + buckets))
     model = counts.select("bucket", (F.round(ratio, 6) if nt else F.lit(0.0)).alias("ratio"))
@@ -166,7 +165,7 @@ def score(df: DataFrame, model: DataFrame, toxic: list[int], buckets: int = BUCK
         total = F.aggregate(g, F.lit(0.0), lambda acc, h: acc + F.get(ratios, F.pmod(h, F.lit(buckets)))) / F.greatest(F.size(g), F.lit(1))
         return F.struct(total.alias("score"), (F.lit(False) if said is None else F.arrays_overlap(g, said)).alias("toxic"))
 
-    out = df.withColumn("__judged", let(_ngrams(F.col("text"), lambda h: h), judged))
+    out = df.withColumn("__judged", let(_ngrams(F.col("text")), judged))
     return out.withColumns({"score": F.col("__judged.score"), "__toxic": F.col("__judged.toxic")}).drop("__judged")
 
 

@@ -37,6 +37,20 @@ def test_base_rules(docs_of, odd_rows):
         assert r.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0])
 
 
+def test_white_space_is_counted_by_the_cut_and_ngrams_are_a_column(spark, docs_of, monkeypatch):
+    """CPU time: no strings made of each white space, n-grams made once and not within the generator, which Spark then compiles."""
+    rows = [(0, " \t a\n\nb \x0b\x0c\r", "s"), (1, " \n ", "s"), (2, None, "s"), (3, " ".join(map(str, range(9))) + "  " + " ".join(map(str, range(9))), "s")]
+    df = docs_of(rows)
+    base = quality.base_features(df)
+    assert [tuple(r) for r in base.orderBy("doc_id").select("n_words", "word_chars", "n_repeat_words").collect()] == [features(text)[:2] + features(text)[-1:] for _, text, _ in rows]
+    plan = lambda out: out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(base).count("regexp_extract_all") == 1
+    staged, stage = [], quality.common.stage_table
+    monkeypatch.setattr(quality.common, "stage_table", lambda out, *a, **k: staged.append(out) or stage(out, *a, **k))
+    quality.fit(df, spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int"))
+    assert "Generate explode(grams#" in plan(staged[0]) and plan(staged[0]).count("regexp_extract_all") == 1
+
+
 def buckets(text):
     t = re.findall(r"[^\W_]+|(?:[^\w\s]|_)+", (text or "").lower())
     h = lambda *x: _chain(x) % quality.BUCKETS
